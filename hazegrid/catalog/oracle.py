@@ -731,6 +731,33 @@ def oracle_sql() -> dict[str, str]:
             "select station_id, ts, hours_ahead, aqi, category from (select *, row_number() over "
             "(partition by station_id order by aqi desc, hours_ahead) as rn from forecast) "
             "where rn = 1 and aqi >= 150", extra=forecast),
+        "stream_collector": pipeline(
+            "select station_id, ts, aqi, dominant_pollutant, aqi_lag_168h, aqi_roll_std_7d, "
+            "pm2_5, precip_72h from features"),
+        "stream_dedupe": "select distinct user_id % 2 as station_id, date_trunc('hour', ts) as ts "
+                         "from events",
+        "stream_join": _with({**_EVENTS, "hours": (
+            "select e.user_id % 2 as station_id, date_trunc('hour', e.ts) as ts, e.event_type, "
+            "v.cents from events e join ev v on e.event_id = v.event_id")},
+            "select p.station_id, p.ts, p.cents::bigint as poll_cents, w.cents::bigint as wx_cents "
+            "from (select station_id, ts, sum(cents) as cents from hours where "
+            "event_type <> 'error' group by 1, 2) p join (select station_id, ts, sum(cents) as "
+            "cents from hours where event_type = 'error' group by 1, 2) w "
+            "on p.station_id = w.station_id and p.ts = w.ts"),
+        "stream_averages": pipeline(
+            "select station_id, ts, round(avg, 9) as average, n as values from (select station_id, "
+            "ts, avg(pm2_5) over d as avg, count(pm2_5) over d as n from hourly window d as "
+            "(partition by station_id order by h rows between 23 preceding and current row)) "
+            "where n >= 18", "hourly"),
+        "stream_lags": pipeline(
+            f"select station_id, ts, aqi, {_cols(f'aqi_lag_{h}h' for h in LAGS)} from windowed",
+            "windowed"),
+        "stream_alerts": pipeline(
+            "select station_id, ts, hours_ahead, aqi, category from forecast where aqi >= 150",
+            extra=forecast),
+        "stream_two_sinks": pipeline(
+            "select station_id, count(*) as local_rows, sum(aqi) as local_aqi, "
+            "count(*) as served_rows, sum(aqi) as served_aqi from features group by 1"),
         "linear_attribution": pipeline(
             "select station_id, feature, count(*) as rows, round(sum(contribution), 3) as total, "
             "round(max(contribution), 3) as largest, round(min(contribution), 3) as smallest "

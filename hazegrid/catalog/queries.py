@@ -369,8 +369,8 @@ def sub_index(t):
     subs = aqi.sub_indices(pm2_5="pm2_5", pm10="pm10", co="co", o3="o3")
     clean = feeds.clean_sentinel(t.pollutants)
     each = clean.select(*ARRIVAL, KEY, *[c.alias(f"{p}_index") for p, c in subs.items()])
-    named = {p: F.col(f"{p}_index") for p in subs}
-    return each.select("*", aqi.overall(named).alias("aqi"),
+    named = {p: f"{p}_index" for p in subs}
+    return each.select("*", aqi.overall(named.values()).alias("aqi"),
                        aqi.dominant(named).alias("dominant_pollutant"))
 
 
@@ -522,8 +522,9 @@ def history_cards(t):
 def index_before_after(t):
     """The index read from single hours (before) and from averages (after)."""
     subs = aqi.sub_indices(pm2_5="pm2_5", pm10="pm10", co="co", o3="o3")
-    both = t.hourly.select(KEY, "ts", aqi.overall(subs).alias("aqi_before"),
-                           F.col("aqi").alias("aqi_after"))
+    single = t.hourly.select(KEY, "ts", "aqi", *[c.alias(p) for p, c in subs.items()])
+    both = single.select(KEY, "ts", aqi.overall(subs).alias("aqi_before"),
+                         F.col("aqi").alias("aqi_after"))
     out = explore.jump_report(both, {"before": "aqi_before", "after": "aqi_after"})
     return rounded(out, 6, "mean", "std", "median_jump", "mean_jump", "corr_24h")
 

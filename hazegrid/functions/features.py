@@ -32,26 +32,24 @@ def hour_start(hour) -> Column:
 
 
 def calendar(ts: str = "ts") -> dict[str, Column]:
-    t = F.col(ts)
-    month, hour, weekday = F.month(t), F.hour(t), F.weekday(t)
-
-    def wave(fn, value, period):
-        return fn(F.lit(2.0 * math.pi) * value.cast("double") / F.lit(float(period)))
-
-    out = {
-        "hour": hour,
-        "day": F.dayofmonth(t),
-        "month": month,
-        "day_of_week": weekday,
-        "is_weekend": (weekday >= 5).cast("int"),
-        "hour_sin": wave(F.sin, hour, 24),
-        "hour_cos": wave(F.cos, hour, 24),
-        "month_sin": wave(F.sin, month, 12),
-        "month_cos": wave(F.cos, month, 12),
+    def wave(fn, part, period):
+        return f"{fn}({2.0 * math.pi!r}D * cast({part}({ts}) as double) / {float(period)}D)"
+
+    text = {
+        "hour": f"hour({ts})",
+        "day": f"dayofmonth({ts})",
+        "month": f"month({ts})",
+        "day_of_week": f"weekday({ts})",
+        "is_weekend": f"cast(weekday({ts}) >= 5 as int)",
+        "hour_sin": wave("sin", "hour", 24),
+        "hour_cos": wave("cos", "hour", 24),
+        "month_sin": wave("sin", "month", 12),
+        "month_cos": wave("cos", "month", 12),
     }
     for season, months in SEASONS.items():
-        out[f"season_{season}"] = month.isin(*months).cast("int")
-    return out
+        text[f"season_{season}"] = (
+            f"cast(month({ts}) in ({', '.join(map(str, months))}) as int)")
+    return {name: F.expr(t) for name, t in text.items()}
 
 
 def weather() -> dict[str, Column]:
@@ -60,30 +58,27 @@ def weather() -> dict[str, Column]:
     ``calm_flag`` treats missing wind as not calm. Its threshold is in whatever unit
     the feed delivers wind speed in.
     """
-    speed, angle = F.col("wind_speed"), F.radians(F.col("wind_deg"))
-    return {
-        "wind_u": -speed * F.sin(angle),
-        "wind_v": -speed * F.cos(angle),
-        "ventilation": speed * (F.lit(100.0) - F.col("humidity")) / F.lit(100.0),
-        "calm_flag": F.coalesce(speed < F.lit(CALM_BELOW), F.lit(False)).cast("int"),
-    }
+    return {name: F.expr(t) for name, t in {
+        "wind_u": "-wind_speed * sin(radians(wind_deg))",
+        "wind_v": "-wind_speed * cos(radians(wind_deg))",
+        "ventilation": "wind_speed * (100D - humidity) / 100D",
+        "calm_flag": f"cast(coalesce(wind_speed < {CALM_BELOW}D, false) as int)",
+    }.items()}
 
 
 def lead_time(hours_ahead: str = "hours_ahead") -> dict[str, Column]:
-    h = F.col(hours_ahead).cast("double")
-    return {"sqrt_hours_ahead": F.sqrt(h),
-            **{f"{c}_x_hours": F.col(c) * h for c in LEAD_INTERACTIONS}}
+    names = ["sqrt_hours_ahead", *[f"{c}_x_hours" for c in LEAD_INTERACTIONS]]
+    return {name: model_column(name, hours_ahead) for name in names}
 
 
 def model_column(name: str, hours_ahead: str = "hours_ahead") -> Column:
     """The input called ``name`` in a model's manifest, as an expression."""
-    if name == hours_ahead:
-        return F.col(hours_ahead).cast("double")
+    lead = f"cast({hours_ahead} as double)"
     if name == "sqrt_hours_ahead":
-        return F.sqrt(F.col(hours_ahead).cast("double"))
+        return F.expr(f"sqrt({lead})")
     if name.endswith("_x_hours"):
-        return F.col(name.removesuffix("_x_hours")) * F.col(hours_ahead).cast("double")
-    return F.col(name).cast("double")
+        return F.expr(f"cast({name.removesuffix('_x_hours')} as double) * {lead}")
+    return F.expr(f"cast({name} as double)")
 
 
 def extended_ratios() -> dict[str, Column]:

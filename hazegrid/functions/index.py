@@ -85,118 +85,109 @@ BANDS = (
 )
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
 
+# Every rule below is SQL text over a column name or expression. Text reaches the
+# planner in one call, where a Column built step by step costs one call per operator,
+# and the same text serves DataFrames and SQL functions.
 
-def null_if_nan(c) -> Column:
+
+def _number(value) -> str:
+    return f"{float(value)!r}D"
+
+
+def known(value: str) -> str:
     """NaN and NULL both mean missing; keep only NULL."""
-    c = _col(c).cast("double")
-    return F.when(~F.isnan(c), c)
+    return f"if(isnan(cast({value} as double)), null, cast({value} as double))"
 
 
-def truncate(value, decimals: int) -> Column:
+def truncate(value: str, decimals: int) -> str:
     """Cut (floor) to a number of decimals, closing the gaps between brackets."""
-    factor = float(10 ** decimals)
-    return F.floor(_col(value) * F.lit(factor)).cast("double") / F.lit(factor)
+    factor = _number(10 ** decimals)
+    return f"(cast(floor({value} * {factor}) as double) / {factor})"
 
 
-def _on_segment(c: Column, low, high, index_low, index_high) -> Column:
-    slope = F.lit(float(index_high - index_low)) / F.lit(float(high) - float(low))
-    return F.rint(slope * (c - F.lit(float(low))) + F.lit(float(index_low)))
+def _on_segment(c: str, low, high, index_low, index_high) -> str:
+    rise, run = _number(index_high - index_low), f"({_number(high)} - {_number(low)})"
+    return f"rint({rise} / {run} * ({c} - {_number(low)}) + {_number(index_low)})"
 
 
-def sub_index(concentration, scale: Scale) -> Column:
+def sub_index_text(value: str, scale: Scale) -> str:
     """Index of one pollutant, rounded half to even.
 
     Missing stays missing, below the table is 0, above it the last slope goes on.
     """
-    c = truncate(null_if_nan(concentration), scale.decimals)
-    out = F.when(c.isNull(), F.lit(None).cast("double")).when(
-        c < F.lit(float(scale.rows[0][0])), F.lit(0.0))
-    for low, high, index_low, index_high in scale.rows:
-        out = out.when(c.between(F.lit(float(low)), F.lit(float(high))),
-                       _on_segment(c, low, high, index_low, index_high))
-    return out.otherwise(_on_segment(c, *scale.rows[-1]))
-
-
-def sub_indices(pm2_5=None, pm10=None, co=None, o3=None, *, co_in_ugm3: bool = True,
-                o3_in_ugm3: bool = True, scales=SCALES) -> dict:
-    """Sub-index expression per given pollutant, in tie order."""
+    c = truncate(known(value), scale.decimals)
+    whens = " ".join(
+        f"when {c} between {_number(r[0])} and {_number(r[1])} then {_on_segment(c, *r)}"
+        for r in scale.rows)
+    return (f"case when {c} is null then cast(null as double) "
+            f"when {c} < {_number(scale.rows[0][0])} then 0D {whens} "
+            f"else {_on_segment(c, *scale.rows[-1])} end")
+
+
+def sub_index(value: str, scale: Scale) -> Column:
+    return F.expr(sub_index_text(value, scale))
+
+
+def sub_indices(pm2_5: str | None = None, pm10: str | None = None, co: str | None = None,
+                o3: str | None = None, *, co_in_ugm3: bool = True, o3_in_ugm3: bool = True,
+                scales=SCALES) -> dict[str, Column]:
+    """Sub-index per given pollutant (column name or SQL expression), in tie order."""
     given = {
         "pm2_5": pm2_5,
         "pm10": pm10,
-        "co": None if co is None else _col(co) / CO_PER_PPM if co_in_ugm3 else co,
-        "o3": None if o3 is None else _col(o3) / O3_PER_PPB if o3_in_ugm3 else o3,
+        "co": f"({co}) / {_number(CO_PER_PPM)}" if co and co_in_ugm3 else co,
+        "o3": f"({o3}) / {_number(O3_PER_PPB)}" if o3 and o3_in_ugm3 else o3,
     }
-    return {p: sub_index(given[p], scale) for p, scale in scales.items()
-            if given.get(p) is not None}
+    return {p: sub_index(given[p], scale) for p, scale in scales.items() if given.get(p)}
 
 
-def overall(subs: dict) -> Column:
-    """Largest available sub-index; missing ones are skipped, not zero."""
-    cols = list(subs.values())
-    return F.greatest(*cols) if len(cols) > 1 else cols[0]
+def overall(subs) -> Column:
+    """Largest available sub-index of the named columns; missing ones are skipped."""
+    return F.expr(_largest(subs))
+
+
+def _largest(subs) -> str:
+    subs = list(subs)
+    return f"greatest({', '.join(subs)})" if len(subs) > 1 else subs[0]
 
 
 def dominant(subs: dict) -> Column:
-    """Name of the pollutant that sets the index (first one on ties)."""
-    top = overall(subs)
-    out = F.lit(None).cast("string")
-    for name in reversed(list(subs)):
-        out = F.when(subs[name] == top, F.lit(name)).otherwise(out)
-    return out
+    """Pollutant that sets the index; ``subs`` maps it to its column, first wins ties."""
+    top = _largest(subs.values())
+    return F.expr("case " + " ".join(f"when {c} = {top} then '{p}'" for p, c in subs.items())
+                  + " end")
 
 
-def _category_part(index, part: int) -> Column:
-    value = F.rint(null_if_nan(index))
-    out = F.when(value.isNull(), F.lit(UNKNOWN[part - 2]))
-    for row in CATEGORIES:
-        out = out.when(value.between(F.lit(float(row[0])), F.lit(float(row[1]))),
-                       F.lit(row[part]))
-    return out.otherwise(F.lit(CATEGORIES[-1][part]))
+def category_text(index: str, part: int = 2) -> str:
+    value = f"rint({known(index)})"
+    whens = " ".join(f"when {value} between {r[0]} and {r[1]} then '{r[part]}'"
+                     for r in CATEGORIES)
+    return (f"case when {value} is null then '{UNKNOWN[part - 2]}' {whens} "
+            f"else '{CATEGORIES[-1][part]}' end")
 
 
-def category(index) -> Column:
+def category(index: str) -> Column:
     """Label of an index value, after rounding it half to even."""
-    return _category_part(index, 2)
+    return F.expr(category_text(index))
 
 
-def colour(index) -> Column:
+def colour(index: str) -> Column:
     """Display colour of an index value."""
-    return _category_part(index, 3)
+    return F.expr(category_text(index, 3))
 
 
 def clip(prediction, bounds) -> Column:
     low, high = bounds
-    return F.least(F.greatest(_col(prediction), F.lit(float(low))), F.lit(float(high)))
+    return F.least(F.greatest(prediction, F.lit(float(low))), F.lit(float(high)))
 
 
 def register_sql(spark) -> None:
     """Make the index rules available to SQL text as (inlined) SQL functions."""
-    for name, scale in (("pm2_5", PM2_5), ("pm10", PM10), ("co", CO), ("o3", O3)):
-        spark.sql(f"create or replace temporary function {name}_sub_index(c double) "
-                  f"returns double return {_sql_sub_index(scale)}")
-    spark.sql("create or replace temporary function aqi_category(c double) returns string "
-              f"return {_sql_category(2)}")
-    spark.sql("create or replace temporary function aqi_colour(c double) returns string "
-              f"return {_sql_category(3)}")
-
-
-def _sql_sub_index(scale: Scale) -> str:
-    factor = 10 ** scale.decimals
-    c = f"(floor(c * {factor}D) / {factor}D)"
-    def line(low, high, index_low, index_high):
-        return (f"rint({float(index_high - index_low)}D / ({float(high)}D - {float(low)}D)"
-                f" * ({c} - {float(low)}D) + {float(index_low)}D)")
-    whens = " ".join(f"when {c} between {float(r[0])}D and {float(r[1])}D then {line(*r)}"
-                     for r in scale.rows)
-    return (f"case when c is null or isnan(c) then null when {c} < {float(scale.rows[0][0])}D "
-            f"then 0D {whens} else {line(*scale.rows[-1])} end")
-
-
-def _sql_category(part: int) -> str:
-    whens = " ".join(f"when rint(c) between {r[0]} and {r[1]} then '{r[part]}'"
-                     for r in CATEGORIES)
-    return (f"case when c is null or isnan(c) then '{UNKNOWN[part - 2]}' {whens} "
-            f"else '{CATEGORIES[-1][part]}' end")
+    bodies = {f"{p}_sub_index": ("double", sub_index_text("c", scale))
+              for p, scale in SCALES.items()}
+    bodies["aqi_category"] = ("string", category_text("c"))
+    bodies["aqi_colour"] = ("string", category_text("c", 3))
+    for name, (kind, body) in bodies.items():
+        spark.sql(f"create or replace temporary function {name}(c double) "
+                  f"returns {kind} return {body}")

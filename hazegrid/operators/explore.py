@@ -154,15 +154,14 @@ def corr_matrix(df: DataFrame, columns=CORRELATED) -> DataFrame:
     only one partial result per pair and task is shuffled.
     """
     columns = [c for c in columns if c in df.columns]
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
-    doubled = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    each = doubled.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("pair"), F.col(a).alias("x"), F.col(b).alias("y"))
-        for i, (a, b) in enumerate(pairs)])))
-    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
-    found = each.groupBy("pair").agg(F.corr("x", "y").alias("r"))
-    return found.withColumn("names", names[F.col("pair")]).select(
-        F.col("names.a").alias("left_column"), F.col("names.b").alias("right_column"), "r")
+    values = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("values"))
+    left = values.select("values", F.posexplode("values").alias("a", "x")).filter("x is not null")
+    both = left.select("a", "x", F.posexplode("values").alias("b", "y")).filter(
+        "b > a and y is not null")
+    found = both.groupBy("a", "b").agg(F.corr("x", "y").alias("r"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return found.select(names[F.col("a")].alias("left_column"),
+                        names[F.col("b")].alias("right_column"), "r")
 
 
 def target_corr(df: DataFrame, target: str, columns) -> DataFrame:

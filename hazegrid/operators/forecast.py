@@ -65,12 +65,12 @@ def finish(predictions: DataFrame, delta: bool | Column = False) -> DataFrame:
     """Raw predictions to the forecast table: level, clip, round, category, valid time."""
     delta = F.lit(delta) if isinstance(delta, bool) else delta
     level = F.when(delta, F.col("prediction") + F.col("aqi")).otherwise(F.col("prediction"))
-    clipped = aqi.clip(level, PREDICTION_RANGE)
-    return predictions.select(
+    clipped = predictions.withColumn("_level", aqi.clip(level, PREDICTION_RANGE))
+    return clipped.select(
         KEY, "hours_ahead",
         F.timestamp_seconds(F.unix_timestamp("ts") + F.col("hours_ahead") * 3600).alias("ts"),
-        block_of().alias("day"), F.rint(clipped).cast("long").alias("aqi"),
-        aqi.category(clipped).alias("category"), aqi.colour(clipped).alias("colour"))
+        block_of().alias("day"), F.rint("_level").cast("long").alias("aqi"),
+        aqi.category("_level").alias("category"), aqi.colour("_level").alias("colour"))
 
 
 def persistence_forecast(table: DataFrame) -> DataFrame:

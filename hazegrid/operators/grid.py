@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazegrid.functions.features import epoch_hour, hour_start
@@ -17,24 +17,22 @@ def _per_chunk(rows: DataFrame, sensors, back: int, size: int) -> DataFrame:
     following chunk as its halo. Only numbers are aggregated, which keeps this a hash
     aggregation that reduces rows ahead of the shuffle.
     """
-    tail = F.pmod(F.col("hour"), F.lit(size)) >= size - back
-    aggs = [F.min("hour").alias("first_hour"), F.max("hour").alias("last_hour")]
+    aggs = ["min(hour) as first_hour", "max(hour) as last_hour"]
+    either = ["min(first_hour) as first_hour", "max(last_hour) as last_hour"]
     for c in sensors:
-        seen = F.when(F.col(c).isNotNull(), F.col("hour"))
-        aggs += [F.min(seen).alias(f"{c}__min_h"), F.min_by(c, seen).alias(f"{c}__min_v"),
-                 F.max(seen).alias(f"{c}__max_h"), F.max_by(c, seen).alias(f"{c}__max_v")]
-    parts = rows.withColumn("tail", tail).groupBy(KEY, "chunk", "tail").agg(*aggs)
-    either = [F.min("first_hour").alias("first_hour"), F.max("last_hour").alias("last_hour")]
-    for c in sensors:
-        low, high = F.col(f"{c}__min_h"), F.col(f"{c}__max_h")
-        early = F.when(~F.col("tail"), high)
-        either += [F.min(low).alias(f"{c}__first_h"),
-                   F.min_by(f"{c}__min_v", low).alias(f"{c}__first_v"),
-                   F.max(high).alias(f"{c}__last_h"),
-                   F.max_by(f"{c}__max_v", high).alias(f"{c}__last_v"),
-                   F.max(early).alias(f"{c}__early_h"),
-                   F.max_by(f"{c}__max_v", early).alias(f"{c}__early_v")]
-    return parts.groupBy(KEY, "chunk").agg(*either)
+        seen = f"if({c} is not null, hour, null)"
+        aggs += [f"min({seen}) as {c}__min_h", f"min_by({c}, {seen}) as {c}__min_v",
+                 f"max({seen}) as {c}__max_h", f"max_by({c}, {seen}) as {c}__max_v"]
+        early = f"if(tail, null, {c}__max_h)"
+        either += [f"min({c}__min_h) as {c}__first_h",
+                   f"min_by({c}__min_v, {c}__min_h) as {c}__first_v",
+                   f"max({c}__max_h) as {c}__last_h",
+                   f"max_by({c}__max_v, {c}__max_h) as {c}__last_v",
+                   f"max({early}) as {c}__early_h",
+                   f"max_by({c}__max_v, {early}) as {c}__early_v"]
+    parts = (rows.withColumn("tail", F.expr(f"pmod(hour, {size}) >= {size - back}"))
+             .groupBy(KEY, "chunk", "tail").agg(*map(F.expr, aggs)))
+    return parts.groupBy(KEY, "chunk").agg(*map(F.expr, either))
 
 
 def _edges(rows: DataFrame, cities: DataFrame, sensors, back: int, size: int) -> DataFrame:
@@ -44,48 +42,42 @@ def _edges(rows: DataFrame, cities: DataFrame, sensors, back: int, size: int) ->
     that crosses chunk borders still sees both its ends. Chunks without any reading are
     included. One row per chunk is ordered per station here, never the readings.
     """
-    station = Window.partitionBy(KEY)
-    by_chunk = station.orderBy("chunk")
-    held = _per_chunk(rows, sensors, back, size).select(
-        "*", F.min("first_hour").over(station).alias("start"),
-        F.max("last_hour").over(station).alias("stop"),
-        F.coalesce(F.lead("chunk").over(by_chunk) - 1, F.col("chunk")).alias("until"))
-    spread = held.withColumn("at", F.explode(F.sequence("chunk", "until")))
+    station = f"partition by {KEY}"
+    held = _per_chunk(rows, sensors, back, size).selectExpr(
+        "*", f"min(first_hour) over ({station}) as start",
+        f"max(last_hour) over ({station}) as stop",
+        f"coalesce(lead(chunk) over ({station} order by chunk) - 1, chunk) as until")
+    spread = held.selectExpr("*", "explode(sequence(chunk, until)) as at")
     parts = [f"{c}__{kind}_{part}" for c in sensors for kind in ("first", "last", "early")
              for part in ("h", "v")]
-    dense = spread.select(
-        KEY, "start", "stop", F.col("at").alias("chunk"),
-        *[F.when(F.col("at") == F.col("chunk"), F.col(n)).alias(n) for n in parts])
-    dense = dense.join(cities, KEY, "left")
-
-    order = Window.partitionBy(KEY).orderBy("chunk")
-    two_before = order.rowsBetween(Window.unboundedPreceding, -2)
-    after = (Window.partitionBy(KEY).orderBy(F.desc("chunk"))
-             .rowsBetween(Window.unboundedPreceding, -1))
-
-    def before(c, part):
-        return F.coalesce(F.lag(f"{c}__early_{part}").over(order),
-                          F.last(f"{c}__last_{part}", ignorenulls=True).over(two_before))
-
-    def beyond(c, part):
-        return F.last(f"{c}__first_{part}", ignorenulls=True).over(after)
-
-    low = F.greatest(F.col("start"), F.col("chunk") * size - back) - 1
-    high = F.least(F.col("stop"), (F.col("chunk") + 1) * size - 1) + 1
-    carried = dense.select(
-        KEY, "chunk", "city", low.alias("low"), high.alias("high"),
-        *[f(c, part).alias(f"{c}__{name}_{part}") for c in sensors
-          for name, f in (("p", before), ("n", beyond)) for part in ("h", "v")])
+    dense = spread.selectExpr(
+        KEY, "start", "stop", "at as chunk",
+        *[f"if(at = chunk, {n}, null) as {n}" for n in parts]).join(cities, KEY, "left")
+
+    order = f"{station} order by chunk"
+    behind = f"({order} rows between unbounded preceding and 2 preceding)"
+    beyond = (f"({station} order by chunk desc rows between unbounded preceding "
+              "and 1 preceding)")
+    carried = []
+    for c in sensors:
+        for part in ("h", "v"):
+            carried += [
+                f"coalesce(lag({c}__early_{part}) over ({order}), "
+                f"last({c}__last_{part}, true) over {behind}) as {c}__p_{part}",
+                f"last({c}__first_{part}, true) over {beyond} as {c}__n_{part}"]
+    carried = dense.selectExpr(
+        KEY, "chunk", "city", f"greatest(start, chunk * {size} - {back}) - 1 as low",
+        f"least(stop, (chunk + 1) * {size} - 1) + 1 as high", *carried)
 
     def marker(side, hour):
-        return F.struct(
-            F.col(hour).alias("hour"),
-            *[F.col(f"{c}__{side}_v").alias(c) for c in sensors],
-            *[F.col(f"{c}__{side}_h").alias(f"{c}__h") for c in sensors])
+        fields = [f"'hour', {hour}"]
+        fields += [f"'{c}', {c}__{side}_v" for c in sensors]
+        fields += [f"'{c}__h', {c}__{side}_h" for c in sensors]
+        return f"named_struct({', '.join(fields)})"
 
-    return carried.select(
-        KEY, "chunk", "city", F.lit(True).alias("edge"),
-        F.inline(F.array(marker("p", "low"), marker("n", "high"))))
+    return carried.selectExpr(
+        KEY, "chunk", "city", "true as edge",
+        f"inline(array({marker('p', 'low')}, {marker('n', 'high')}))")
 
 
 def hourly_frames(merged: DataFrame, sensors=SENSORS, back: int = 0,
@@ -93,51 +85,46 @@ def hourly_frames(merged: DataFrame, sensors=SENSORS, back: int = 0,
     """Every hour of every chunk (halo included), with edge markers, before filling."""
     sensors = [c for c in sensors if c in merged.columns]
     rows = merged.withColumn("hour", epoch_hour("ts"))
-    if "city" not in rows.columns:
-        rows = rows.withColumn("city", F.lit(None).cast("string"))
-    rows = rows.select(KEY, "hour", "city", *sensors)
+    city = "city" if "city" in merged.columns else "cast(null as string) as city"
+    rows = rows.selectExpr(KEY, "hour", city, *sensors)
     cities = rows.groupBy(KEY).agg(
-        F.max_by("city", F.when(F.col("city").isNotNull(), F.col("hour"))).alias("city"))
+        F.expr("max_by(city, if(city is not null, hour, null))").alias("city"))
     edges = _edges(rows.withColumn("chunk", chunk_of("hour", size)), cities, sensors, back, size)
-    readings = add_halo(rows, back, size=size).select(
-        KEY, "chunk", "city", F.lit(False).alias("edge"), "hour", *sensors,
-        *[F.when(F.col(c).isNotNull(), F.col("hour")).alias(f"{c}__h") for c in sensors])
+    readings = add_halo(rows, back, size=size).selectExpr(
+        KEY, "chunk", "city", "false as edge", "hour", *sensors,
+        *[f"if({c} is not null, hour, null) as {c}__h" for c in sensors])
     known = edges.unionByName(readings)
-
-    newest_first = Window.partitionBy(KEY, "chunk").orderBy(F.desc("hour"))
-    until = F.coalesce(F.lag("hour").over(newest_first) - 1, F.col("hour"))
-    spread = known.withColumn("until", until).withColumn(
-        "at", F.explode(F.sequence("hour", "until")))
-    own = F.col("at") == F.col("hour")
-    return spread.select(
-        KEY, "chunk", F.col("at").alias("hour"), "city",
-        (F.col("edge") & own).alias("edge"),
-        *[F.when(own, F.col(n)).alias(n)
-          for c in sensors for n in (c, f"{c}__h")])
+    spread = known.selectExpr(
+        "*", f"lag(hour) over (partition by {KEY}, chunk order by hour desc) as following")
+    spread = spread.selectExpr(
+        "*", "explode(sequence(hour, coalesce(following - 1, hour))) as at")
+    return spread.selectExpr(
+        KEY, "chunk", "at as hour", "city", "edge and at = hour as edge",
+        *[f"if(at = hour, {n}, null) as {n}" for c in sensors for n in (c, f"{c}__h")])
 
 
-def interpolated(value: Column, hour: Column, before_h: Column, before_v: Column,
-                 after_h: Column, after_v: Column, limit: int = FILL_LIMIT_HOURS,
-                 mode: str = "both", quantum: float | None = None) -> Column:
-    """A missing value on the line between its neighbours in time.
+def interpolated(c: str, limit: int = FILL_LIMIT_HOURS, mode: str = "both",
+                 quantum: float | None = None) -> str:
+    """A missing value of sensor ``c`` on the line between its neighbours in time.
 
     ``mode="both"``: filled where either neighbour is at most ``limit`` hours away, so
     a longer gap keeps a hole in its middle; past the first or last observation the
     nearest value is repeated. ``mode="whole_gap"``: only gaps of at most ``limit``
     hours are filled. ``quantum`` floors filled values to the sensor's resolution.
     """
-    since, till = hour - before_h, after_h - hour
-    line = before_v + (after_v - before_v) * since / (since + till)
-    guess = F.coalesce(line, before_v, after_v)
+    before, after = f"{c}__prev", f"{c}__next"
+    since, till = f"(hour - {c}__h__prev)", f"({c}__h__next - hour)"
+    guess = (f"coalesce({before} + ({after} - {before}) * {since} / ({since} + {till}), "
+             f"{before}, {after})")
     if mode == "both":
-        near = F.coalesce(since <= limit, F.lit(False)) | F.coalesce(till <= limit, F.lit(False))
+        near = f"coalesce({since} <= {limit}, false) or coalesce({till} <= {limit}, false)"
     elif mode == "whole_gap":
-        near = F.coalesce(since + till - 1 <= limit, F.lit(False))
+        near = f"coalesce({since} + {till} - 1 <= {limit}, false)"
     else:
         raise ValueError(mode)
     if quantum:
-        guess = F.floor(guess / F.lit(quantum)).cast("double") * F.lit(quantum)
-    return F.when(value.isNotNull(), value).when(near, guess)
+        guess = f"cast(floor({guess} / {quantum!r}D) as double) * {quantum!r}D"
+    return f"case when {c} is not null then {c} when {near} then {guess} end"
 
 
 def filled_frames(merged: DataFrame, sensors=SENSORS, back: int = 0, *,
@@ -147,20 +134,15 @@ def filled_frames(merged: DataFrame, sensors=SENSORS, back: int = 0, *,
     sensors = [c for c in sensors if c in merged.columns]
     frames = hourly_frames(merged, sensors, back, size)
     both = [n for c in sensors for n in (c, f"{c}__h")]
-    upto = (Window.unboundedPreceding, Window.currentRow)
-    down = Window.partitionBy(KEY, "chunk").orderBy(F.desc("hour")).rowsBetween(*upto)
-    up = Window.partitionBy(KEY, "chunk").orderBy("hour").rowsBetween(*upto)
-    frames = frames.select(
-        "*", *[F.last(n, ignorenulls=True).over(down).alias(f"{n}__next") for n in both])
-    frames = frames.select(
-        "*", F.last("city", ignorenulls=True).over(up).alias("filled_city"),
-        *[F.last(n, ignorenulls=True).over(up).alias(f"{n}__prev") for n in both])
-    return frames.filter(~F.col("edge")).select(
-        KEY, "chunk", "hour", F.col("filled_city").alias("city"),
-        *[interpolated(F.col(c), F.col("hour"), F.col(f"{c}__h__prev"), F.col(f"{c}__prev"),
-                       F.col(f"{c}__h__next"), F.col(f"{c}__next"),
-                       limit, mode, quantum).alias(c)
-          for c in sensors])
+    upto = "rows between unbounded preceding and current row"
+    down = f"(partition by {KEY}, chunk order by hour desc {upto})"
+    up = f"(partition by {KEY}, chunk order by hour {upto})"
+    frames = frames.selectExpr("*", *[f"last({n}, true) over {down} as {n}__next" for n in both])
+    frames = frames.selectExpr("*", f"last(city, true) over {up} as filled_city",
+                               *[f"last({n}, true) over {up} as {n}__prev" for n in both])
+    return frames.filter("not edge").selectExpr(
+        KEY, "chunk", "hour", "filled_city as city",
+        *[f"{interpolated(c, limit, mode, quantum)} as {c}" for c in sensors])
 
 
 def hourly_grid(merged: DataFrame, sensors=SENSORS, size: int = CHUNK_HOURS) -> DataFrame:

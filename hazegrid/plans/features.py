@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from hazegrid.functions import features as feats
 from hazegrid.functions import index as aqi
 from hazegrid.operators import windows as win
 from hazegrid.operators.chunks import CHUNK_HOURS, KEY, drop_halo
 from hazegrid.operators.grid import filled_frames
-from hazegrid.schemas import (AVERAGING, CALENDAR_FEATURES, FEATURES, INTEGER_FEATURES,
-                              LAG_FEATURES, SENSORS, WEATHER_FEATURES)
+from hazegrid.schemas import AVERAGING, FEATURES, INTEGER_FEATURES, SENSORS
 
 WARM_UP = ["aqi", "aqi_lag_168h", "aqi_roll_mean_7d"]
 
@@ -40,15 +38,10 @@ def features(merged: DataFrame, *, size: int = CHUNK_HOURS, scales=aqi.SCALES,
     """The 69 features of every hour, before the warm-up is dropped."""
     frames = feature_frames(merged, size=size, scales=scales, **fill)
     columns = {**feats.calendar(), **feats.weather()}
-    known = set(SENSORS + ["aqi"] + LAG_FEATURES + WEATHER_FEATURES) - set(columns)
-
-    def typed(name):
-        column = columns[name] if name in columns else F.col(name)
-        return column.cast("long" if name in INTEGER_FEATURES else "double").alias(name)
-
-    assert known | set(columns) >= set(FEATURES) and set(CALENDAR_FEATURES) <= set(columns)
-    return frames.select(KEY, "ts", "city", "dominant_pollutant",
-                         *[typed(name) for name in FEATURES])
+    kinds = {n: "long" if n in INTEGER_FEATURES else "double" for n in FEATURES}
+    return frames.withColumns(columns).selectExpr(
+        KEY, "ts", "city", "dominant_pollutant",
+        *[f"cast({n} as {kind}) as {n}" for n, kind in kinds.items()])
 
 
 def build_features(merged: DataFrame, **options) -> DataFrame:

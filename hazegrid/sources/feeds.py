@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hazegrid.functions.index import null_if_nan
+from hazegrid.functions.index import known
 from hazegrid.operators.chunks import KEY
 from hazegrid.operators.dedupe import ROW_KEY, keep_last
 from hazegrid.schemas import (MERGED_SCHEMA, POLLUTANT_PAYLOAD, POLLUTANTS, SENSORS,
                               SENTINEL, WEATHER, WEATHER_PAYLOAD, WEATHER_VARIABLES)
 
 
-def clean(value, sentinel: float = SENTINEL) -> Column:
+def clean(value: str, sentinel: float = SENTINEL) -> Column:
     """A failed sensor's marker and NaN become NULL."""
-    return F.nullif(null_if_nan(value), F.lit(sentinel))
+    return F.expr(f"nullif({known(value)}, {sentinel!r}D)")
 
 
 def clean_sentinel(df: DataFrame, columns=SENSORS, sentinel: float = SENTINEL) -> DataFrame:
@@ -38,7 +39,7 @@ def flatten_readings(documents: DataFrame) -> DataFrame:
     each = documents.select(*rest, F.explode("list").alias("reading"))
     return each.select(
         *rest, F.timestamp_seconds("reading.dt").alias("ts"),
-        *[clean(F.col(f"reading.components.{p}")).alias(p) for p in POLLUTANTS])
+        *[clean(f"reading.components.{p}").alias(p) for p in POLLUTANTS])
 
 
 def flatten_weather(documents: DataFrame) -> DataFrame:
@@ -67,14 +68,17 @@ def parse_payload(documents: DataFrame, column: str, schema) -> DataFrame:
     return parsed.select(*[c for c in documents.columns if c != column], "_doc.*")
 
 
+def _landed(payload: T.StructType) -> T.StructType:
+    return T.StructType([*payload.fields, T.StructField(KEY, T.LongType())])
+
+
 def read_pollutant_landing(spark: SparkSession, path: str) -> DataFrame:
     """Landing folder ``station_id=N/*.json`` of pollutant payloads."""
-    return flatten_readings(spark.read.schema(
-        POLLUTANT_PAYLOAD.add(KEY, "long")).json(path))
+    return flatten_readings(spark.read.schema(_landed(POLLUTANT_PAYLOAD)).json(path))
 
 
 def read_weather_landing(spark: SparkSession, path: str) -> DataFrame:
-    return flatten_weather(spark.read.schema(WEATHER_PAYLOAD.add(KEY, "long")).json(path))
+    return flatten_weather(spark.read.schema(_landed(WEATHER_PAYLOAD)).json(path))
 
 
 def read_raw(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:

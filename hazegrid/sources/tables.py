@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hazegrid.operators.chunks import KEY
 from hazegrid.operators.dedupe import upsert
@@ -61,6 +62,10 @@ def write_version(df: DataFrame, path: str, version: int) -> str:
     return target
 
 
+def _with_month(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("month_start", T.DateType())])
+
+
 def read_version(spark: SparkSession, path: str, version: int | None = None,
                  schema=FEATURE_SCHEMA) -> DataFrame:
     """A version of the table (the newest by default)."""
@@ -69,8 +74,8 @@ def read_version(spark: SparkSession, path: str, version: int | None = None,
         if not found:
             raise FileNotFoundError(path)
         version = found[-1]
-    fields = schema.add("month_start", "date") if "month_start" not in schema.names else schema
-    return spark.read.schema(fields).parquet(version_path(path, version)).select(*schema.names)
+    return (spark.read.schema(_with_month(schema)).parquet(version_path(path, version))
+            .select(*schema.names))
 
 
 def table_mark(spark: SparkSession, path: str, version: int) -> DataFrame | None:
@@ -101,8 +106,7 @@ def upsert_version(df: DataFrame, path: str, version: int) -> None:
     fresh = storable(df)
     fresh = fresh.withColumn("month_start", F.to_date(F.date_trunc("month", "ts")))
     touched = fresh.select(*PARTITIONS).distinct()
-    fields = FEATURE_SCHEMA.add("month_start", "date")
-    existing = spark.read.schema(fields).parquet(version_path(path, version))
+    existing = spark.read.schema(_with_month(FEATURE_SCHEMA)).parquet(version_path(path, version))
     existing = existing.join(touched, PARTITIONS, "left_semi")
     both = upsert(existing, fresh, [KEY, "ts"])
     (both.repartition(*PARTITIONS).sortWithinPartitions(KEY, "ts")
