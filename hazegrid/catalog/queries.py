@@ -781,8 +781,8 @@ def alerts(t):
 def slopes(table: DataFrame, inputs) -> DataFrame:
     """Single-input slopes against the index and input means, one row per input."""
     each = quality.per_column(table, inputs, {
-        "slope": lambda c: F.covar_pop(F.col(c).cast("double"), F.col("aqi")) / F.var_pop(c),
-        "mean": lambda c: F.avg(F.col(c).cast("double"))})
+        "slope": lambda c: F.covar_pop(c, "aqi") / F.nullif(F.var_pop(c), F.lit(0.0)),
+        "mean": F.avg}, keep=["aqi"])
     return each.select(F.col("column").alias("feature"),
                        (F.floor(F.coalesce("slope", F.lit(0.0)) * 1024) / 1024)
                        .alias("coefficient"), (F.floor(F.col("mean") * 64) / 64).alias("mean"))

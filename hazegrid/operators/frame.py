@@ -31,8 +31,11 @@ def training_frame(table: DataFrame, first: int, last: int, *, features=FEATURES
     position (``"row"``, where a gap in the table makes the true distance longer).
     ``row_nr`` and ``row_count`` count the station's table rows, so that all examples of
     a row can be kept on one side of a split. The table is shuffled once; the expansion
-    itself is narrow.
+    itself is narrow. Whether a row is complete is settled ahead of the shuffle, so inputs
+    nobody reads further on are not shuffled at all.
     """
+    whole = " and ".join(f"{c} is not null" for c in features)
+    table = table.withColumn("_whole", F.expr(whole))
     if target_mode == "time":
         at = table.withColumn("_at", epoch_hour("ts"))
         frames = add_halo(at, ahead=last, size=size, hour="_at")
@@ -48,7 +51,7 @@ def training_frame(table: DataFrame, first: int, last: int, *, features=FEATURES
         raise ValueError(target_mode)
     reach = Window.partitionBy(KEY, "chunk").orderBy("_at").rangeBetween(first, last)
     frames = frames.withColumn("_later", F.collect_list(F.struct("_at", "aqi")).over(reach))
-    rows = drop_halo(frames, size, "_at").dropna(how="any", subset=list(features))
+    rows = drop_halo(frames, size, "_at").filter("_whole")
     each = rows.withColumn("_next", F.explode("_later")).filter("_next.aqi is not null")
     later = F.col("_next.aqi")
     examples = each.select(

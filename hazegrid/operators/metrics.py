@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hazegrid.functions.index import clip
 from hazegrid.operators.chunks import KEY
-from hazegrid.operators.quantiles import quantile_columns
+from hazegrid.operators.quantiles import exact_quantiles
 from hazegrid.schemas import PREDICTION_RANGE
 
 
@@ -45,9 +45,13 @@ def swing(df: DataFrame, groups, *, actual: str = "actual",
         (F.max(predicted) - F.min(predicted)).alias("p_move"),
         (F.max(actual) - F.min(actual)).alias("a_move"))
     groups = list(groups)
-    p = quantile_columns(per_row, groups, "p_move", {"predicted_swing": 0.5})
-    a = quantile_columns(per_row, groups, "a_move", {"actual_swing": 0.5})
-    return p.join(a, groups) if groups else p.join(F.broadcast(a))
+    moves = per_row.select(*groups, F.inline(F.array(*[
+        F.struct(F.lit(side).alias("side"), F.col(move).alias("move"))
+        for side, move in (("predicted", "p_move"), ("actual", "a_move"))])))
+    medians = exact_quantiles(moves, [*groups, "side"], "move", [0.5])
+    out = medians.groupBy(*groups) if groups else medians.groupBy()
+    return out.agg(*[F.max(F.when(F.col("side") == side, F.col("quantile"))).alias(f"{side}_swing")
+                     for side in ("predicted", "actual")])
 
 
 def rank_models(scores: DataFrame, group: str = "block") -> DataFrame:

@@ -12,17 +12,19 @@ from hazegrid.operators.quantiles import exact_quantiles
 from hazegrid.schemas import SENSORS, SENTINEL
 
 
-def per_column(df: DataFrame, columns, measures: dict, groups=()) -> DataFrame:
+def per_column(df: DataFrame, columns, measures: dict, keep=()) -> DataFrame:
     """Several aggregates of many columns as one row per column.
 
-    ``measures`` maps a name to a function from column name to aggregate.
+    ``measures`` maps a name to a function from column name to aggregate; the aggregates
+    may also use the columns in ``keep``. Rows are spread over the columns and reduced
+    again inside the scan's stage, so one partial result per column and task is shuffled
+    and the aggregation stays compiled however many columns there are.
     """
-    groups = list(groups)
-    packed = [F.struct(F.lit(c).alias("column"),
-                       *[fn(c).alias(name) for name, fn in measures.items()]).alias(f"_{c}")
-              for c in columns]
-    wide = (df.groupBy(*groups) if groups else df.groupBy()).agg(*packed)
-    return wide.select(*groups, F.inline(F.array(*[f"_{c}" for c in columns])))
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    each = df.select(*keep, F.posexplode(values).alias("_at", "value"))
+    found = each.groupBy("_at").agg(*[fn("value").alias(name) for name, fn in measures.items()])
+    names = F.array(*[F.lit(c) for c in columns])
+    return found.select(names[F.col("_at")].alias("column"), *measures)
 
 
 def coverage(df: DataFrame) -> DataFrame:

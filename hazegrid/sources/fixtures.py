@@ -22,7 +22,7 @@ _BASE = """
 select {div}(l_suppkey, 5) as station_id, l_orderkey, l_linenumber, l_partkey, l_suppkey,
        l_quantity, l_discount, l_tax, l_returnflag,
        cast({days} as bigint) as d,
-       cast(round(l_extendedprice * 100) as bigint) as c
+       cast(floor(l_extendedprice * 100 + 0.5) as bigint) as c
 from lineitem
 """
 
