@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,18 +39,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    A local temporary folder is only used where the setting is absent and the
-    session is local, as in tests.
+    Where the setting is absent, as in tests, a folder inside the warehouse is set,
+    which driver and executors share as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="hazegrid-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -68,3 +64,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of written tables that no later plan reads."""
+    for df in tables:
+        spark = df.sparkSession
+        root = f"{shared_folder(spark)}/"
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if folder.split(":", 1)[-1].lstrip("/").startswith(root.split(":", 1)[-1].lstrip("/")):
+                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
