@@ -5,15 +5,16 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from hazegrid.session import discard, new_folder, written
 
-__all__ = ["by_value", "components", "discard", "new_folder", "numbered", "read",
-           "row_batches", "word_pattern", "written"]
+__all__ = ["by_value", "components", "discard", "extended", "hash_chunk", "new_folder",
+           "numbered", "read", "word_array", "word_count", "word_pattern", "written"]
 
 #: A word is a run of anything but these white-space characters.
 word_pattern = r"[^\x20\x09-\x0D]+"
@@ -22,7 +23,7 @@ _SPACE = " \t\n\x0b\x0c\r"
 
 def by_value(module: str) -> None:
     """Ship a module's functions with the tasks, so that executors need no copy of it."""
-    for name in {module, __name__, "hazegrid.llm.textstats"} & set(sys.modules):
+    for name in (module, __name__):
         cloudpickle.register_pickle_by_value(sys.modules[name])
 
 
@@ -41,18 +42,37 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(word_pattern)).cast("long")
 
 
-def row_batches(frames: Iterator[pd.DataFrame], size: int,
-                weight: Callable[[pd.DataFrame], pd.Series] | None = None
-                ) -> Iterator[pd.DataFrame]:
-    """Cut Arrow batches into pieces of bounded weight (row count where none is given)."""
-    for frame in frames:
-        if weight is None:
-            for i in range(0, len(frame), size):
-                yield frame.iloc[i:i + size]
-        elif len(frame):
-            part = weight(frame).cumsum() // size
-            for _, piece in frame.groupby(part.to_numpy(), sort=True):
-                yield piece
+_ARROW = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary(),
+          "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
+
+
+def extended(df: DataFrame, read: list[str], added: dict[str, str], make: Callable,
+             rows: int = 500) -> DataFrame:
+    """``df`` without the ``read`` columns but with ``added`` ones (name to type).
+
+    ``make`` is called once per task and returns a function from the read columns' values
+    (lists, in order) to the added columns' values. Arrow batches go through it ``rows`` at
+    a time; other columns pass untouched.
+    """
+    kept = [c for c in df.columns if c not in read]
+    schema = StructType([df.schema[c] for c in kept] + [
+        StructField(c, _type(t)) for c, t in added.items()])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = make()
+        for batch in batches:
+            for i in range(0, batch.num_rows, rows):
+                part = batch.slice(i, rows)
+                made = function(*[part.column(c).to_pylist() for c in read])
+                arrays = [part.column(c) for c in kept] + [
+                    pa.array(x, _ARROW[t]) for x, t in zip(made, added.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, [*kept, *added])
+
+    return df.mapInArrow(work, schema)
+
+
+def _type(name: str) -> DataType:
+    return StructType.fromDDL(f"x {name}")[0].dataType
 
 
 def numbered(df: DataFrame, group: list[str], order: list[str], slot: str, chunk: Column,
@@ -60,26 +80,25 @@ def numbered(df: DataFrame, group: list[str], order: list[str], slot: str, chunk
     """Number the rows of each group from 0, group by group in bounded tasks.
 
     ``chunk`` splits a group into consecutive ranges of its order; the rows ahead of a
-    chunk come from one count per chunk, so no task holds more than one chunk. Null
-    group values form a group of their own.
+    chunk come from one count per chunk, so no task holds more than one chunk. Group
+    and chunk must not be null.
     """
-    from pyspark.sql import Window
-
     keys = [*group, "__chunk"]
     cut = df.withColumn("__chunk", chunk)
     counts = cut.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     ahead = Window.partitionBy(*group).orderBy("__chunk").rowsBetween(
         Window.unboundedPreceding, -1)
-    starts = counts.withColumn("__ahead", F.coalesce(F.sum("__n").over(ahead), F.lit(0)))
-    starts = starts.select(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], "__ahead")
+    starts = counts.select(*keys, F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__ahead"))
     inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    same = [F.col(k).eqNullSafe(F.col(f"__g{i}")) for i, k in enumerate(keys)]
-    on = same[0]
-    for c in same[1:]:
-        on = on & c
-    return (cut.withColumn("__row", inside).join(starts, on)
+    return (cut.withColumn("__row", inside).join(starts, keys)
             .withColumn(slot, F.col("__ahead") + F.col("__row") - 1)
-            .drop("__chunk", "__ahead", "__row", *[f"__g{i}" for i in range(len(keys))]))
+            .drop("__chunk", "__ahead", "__row"))
+
+
+def hash_chunk(key: Column, rows: int, per_chunk: int = 50_000) -> Column:
+    """Leading bits of a 64-bit hash: ranges of its order with some ``per_chunk`` rows each."""
+    bits = max(1, rows // per_chunk).bit_length()
+    return F.shiftright(key, 64 - bits)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -6,9 +6,10 @@
    whose packed bits put them far below the threshold are dropped, the others are confirmed
    on whole sets, and confirmed links are joined into components.
 3. Buckets whose nodes are still in several components are searched further, in blocks of
-   bounded size: first each node's best partner in another component, then every remaining
-   pair across components, each in the first band it shares. Pairs inside one component
-   are never listed, for they can change no result, and so copies never become all pairs.
+   bounded size that hold whole sets: every pair across components is estimated in the
+   first band it shares and, if near, compared; a link joins two components, and pairs
+   that have become one component are not looked at again. A block puts out links that
+   join components, never its pairs.
 
 No candidate is capped or sampled; a link is missed only if no band agrees (1e-7 at the
 threshold) or the estimate is off by MARGIN.
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazegrid.llm.common import by_value, components, discard, row_batches, written
+from hazegrid.llm.common import by_value, components, discard, extended, written
 
 #: Minima per band and bands. A pair at similarity 0.8 shares no band with probability
 #: (1 - 0.8 ** 5) ** 40 = 1e-7.
@@ -113,41 +114,40 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     The set columns are a 128-bit hash of the whole set; all but n_shingles are null for
     a document without words.
     """
-    def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         words, (a, b) = _Words(), _multipliers()
-        for frame in row_batches(frames, 500):
+
+        def sign(texts: list) -> tuple:
             rows = []
-            for text in frame["text"]:
+            for text in texts:
                 s = shingle_hashes(text, size, words)
                 if not len(s):
                     rows.append((0, None, None, None, None))
                     continue
-                hi, lo = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
+                hi, lo = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64).tolist()
                 low = minima(s, a, b)
                 rows.append((len(s), hi, lo, band_keys(low), packed_bits(low)))
-            out = pd.DataFrame(rows, columns=["n_shingles", "set_hi", "set_lo", "bands",
-                                              "packed"])
-            out["set_hi"], out["set_lo"] = out["set_hi"].astype("Int64"), \
-                out["set_lo"].astype("Int64")
-            out.insert(0, "doc_id", frame["doc_id"].to_numpy())
-            yield out
+            return tuple(zip(*rows, strict=True))
+
+        return sign
+
+    return extended(_texts(docs), ["text"], {
+        "n_shingles": "long", "set_hi": "long", "set_lo": "long", "bands": "array<long>",
+        "packed": "array<long>"}, make)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        sign, "doc_id long, n_shingles long, set_hi long, set_lo long, bands array<long>, "
-              "packed array<long>")
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, shingles) of documents that have words."""
-    def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         words = _Words()
-        for frame in row_batches(frames, 500):
-            found = [shingle_hashes(t, size, words).view(np.int64) for t in frame["text"]]
-            out = pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "shingles": found})
-            yield out[out["shingles"].str.len() > 0]
+        return lambda texts: ([shingle_hashes(t, size, words).view(np.int64) for t in texts],)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        sets, "doc_id long, shingles array<long>")
+    return extended(_texts(docs), ["text"], {"shingles": "array<long>"}, make).filter(
+        F.size("shingles") > 0)
 
 
 def estimated_similarity(a: Column, b: Column) -> Column:
@@ -200,73 +200,119 @@ def _sorted_groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[
         yield pd.concat(rest)
 
 
-def _across(group: pd.DataFrame, floor: float, percent: int, best: bool) -> list[tuple]:
-    """Pairs of one block (or of two blocks of a bucket) in different components."""
-    node, comp = group["node"].to_numpy(), group["component"].to_numpy()
-    size, side = group["n_shingles"].to_numpy(), group["block"].to_numpy()
+class _Groups:
+    """Components inside one block, joined as links are found."""
+
+    def __init__(self, components: np.ndarray):
+        self.of = np.unique(components, return_inverse=True)[1]
+
+    def join(self, x: int, y: int) -> None:
+        self.of[self.of == self.of[y]] = self.of[x]
+
+
+#: Equal 32-bit hashes of different shingles that a comparison allows for.
+SLACK = 2
+#: Sets compared in one go.
+_AT_ONCE = 128
+
+
+def _across(group: pd.DataFrame, floor: float, percent: int) -> list[tuple]:
+    """Links of one block (or between two blocks of a bucket) that join components.
+
+    Sets are compared by 32-bit hashes, so a pair so close to the threshold that chance
+    hits could decide it is put out without joining anything here; the caller confirms.
+    """
+    node, size = group["node"].to_numpy(), group["n_shingles"].to_numpy()
+    side = group["block"].to_numpy()
     bits = np.stack(group["packed"].to_numpy()).view(np.uint64)
     keys = np.stack(group["bands"].to_numpy())
+    sets = [np.frombuffer(x, np.uint32) for x in group["short"]]
     band, two = group["band"].iloc[0], group["i"].iloc[0] != group["j"].iloc[0]
-    values, counts = np.unique(comp, return_counts=True)
-    common = values[counts.argmax()]
+    groups = _Groups(group["component"].to_numpy())
+    common = np.bincount(groups.of).argmax()
+    common_node = np.flatnonzero(groups.of == common)[0]
     ones = np.uint64(sum(1 << (BITS * i) for i in range(LANES)))
     order, out, chance = np.arange(len(node)), [], 2.0 ** -BITS
-    for x in np.flatnonzero(comp != common):
-        ok = (comp != comp[x]) & (100 * np.minimum(size, size[x])
-                                  >= percent * np.maximum(size, size[x]))
-        if not best:
-            ok &= (comp == common) | (order > x)
+    for x in np.flatnonzero(groups.of != common):
+        if groups.of[x] == groups.of[common_node]:
+            # the larger side is compared from the other members' turns
+            continue
+        ok = (groups.of != groups.of[x]) & (100 * np.minimum(size, size[x])
+                                            >= percent * np.maximum(size, size[x]))
         if two:
             ok &= side != side[x]
-        at = np.flatnonzero(ok)
-        if not len(at):
-            continue
+        at = order[ok]
         d = bits[at] ^ bits[x]
         d |= d >> np.uint64(1)
         d |= d >> np.uint64(2)
         est = (1 - np.bitwise_count(d & ones).sum(axis=1) / MINIMA - chance) / (1 - chance)
         near = est >= floor
-        if best:
-            if near.any():
-                k = est.argmax()
-                out.append((node[x], node[at[k]], est[k]))
-            continue
-        at = at[near]
+        at, est = at[near], est[near]
         first = (keys[at] == keys[x]).argmax(axis=1) == band
-        out.extend((node[x], y, 0.0) for y in node[at[first]])
+        at = at[first][np.argsort(-est[first], kind="stable")]
+        while len(at):
+            some, at = at[:_AT_ONCE], at[_AT_ONCE:]
+            parts = [sets[y] for y in some]
+            every = np.concatenate(parts)
+            hit = sets[x][np.minimum(np.searchsorted(sets[x], every), len(sets[x]) - 1)] == every
+            both = np.add.reduceat(hit, np.cumsum([0] + [len(q) for q in parts[:-1]]), dtype=np.int64)
+            sizes = size[some] + size[x]
+            linked = 100 * both >= percent * (sizes - both)
+            sure = 100 * (both - SLACK) >= percent * (sizes - both + SLACK)
+            for y in some[linked & ~sure]:
+                out.append((node[x], node[y]))
+            for y in some[sure]:
+                if groups.of[x] != groups.of[y]:
+                    out.append((node[x], node[y]))
+                    groups.join(x, y)
+            at = at[groups.of[at] != groups.of[x]]
     return out
 
 
-#: Most nodes of a bucket in one block.
-BLOCK = 2000
+#: Most nodes of a bucket in one block, about.
+BLOCK = 1000
 
 
-def _open_pairs(members: DataFrame, nodes: DataFrame, comps: DataFrame, percent: int,
-                best: bool) -> DataFrame:
-    """Candidates (a, b, est) between components inside buckets that hold several."""
+def _open_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, comps: DataFrame,
+                percent: int) -> DataFrame:
+    """Candidate links (a, b) that join components inside buckets that hold several."""
     placed = members.join(comps, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
-    still = placed.groupBy("key").agg(F.count(F.lit(1)).alias("c")).join(
-        placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .filter("lo <> hi"), "key").select("key", F.ceil(F.col("c") / BLOCK).cast("int").alias("nb"))
-    dealt = placed.join(still, "key").withColumn(
-        "block", F.pmod(F.xxhash64("node"), "nb").cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("nb") - 1))
-    dealt = (dealt.withColumn("other", other)
+    still = placed.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("component").alias("lo"),
+                                      F.max("component").alias("hi"))
+    # in a bucket of two the pair has been tested
+    still = still.filter("lo <> hi and c > 2").select(
+        "key", F.ceil(F.col("c") / BLOCK).cast("int").alias("nb"))
+    dealt = written(placed.join(still, "key"), "open")
+    ids = dealt.select(F.col("node").alias("doc_id")).distinct()
+
+    def make():
+        def short(rows: list) -> tuple:
+            return ([np.unique((np.array(x, np.int64).view(np.uint64) >> np.uint64(32))
+                               .astype(np.uint32)).tobytes() for x in rows],)
+
+        return short
+
+    short = extended(sets.join(ids, "doc_id", "left_semi"), ["shingles"], {"short": "binary"}, make)
+    short = short.groupBy("doc_id").agg(F.max("short").alias("short"))
+    each = written(nodes.join(short, F.col("doc_id") == F.col("node")).drop("doc_id"), "sets")
+    block = F.pmod(F.xxhash64("node"), "nb").cast("int")
+    dealt = (dealt.withColumn("block", block)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
              .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-             .join(nodes, "node")
+             .join(each, "node")
              .select("key", "i", "j", "block", "band", "node", "component", "n_shingles",
-                     "packed", "bands")
+                     "packed", "bands", "short")
              .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
     floor = percent / 100 - MARGIN
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in _sorted_groups(frames, ["key", "i", "j"]):
-            found = _across(group, floor, percent, best)
+            found = _across(group, floor, percent)
             if found:
-                yield pd.DataFrame(found, columns=["a", "b", "est"])
+                yield pd.DataFrame(found, columns=["a", "b"])
 
-    return dealt.mapInPandas(search, "a long, b long, est double")
+    return dealt.mapInPandas(search, "a long, b long")
 
 
 def duplicate_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -306,20 +352,11 @@ def duplicate_components(docs: DataFrame, size: int = 5, percent: int = 80) -> D
     sets = written(shingle_sets(docs.join(held, "doc_id", "left_semi"), size), "sets")
     links = written(_confirmed(pairs, sets, percent), "links")
     comps = components(links)
-    tested = pairs
-    for best in (True, False):
-        found = _open_pairs(members, nodes, comps, percent, best)
-        if best:
-            found = found.groupBy("a").agg(F.max(F.struct("est", "b")).alias("top")).select(
-                "a", F.col("top.b").alias("b"))
-        found = written(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                        .distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        more = written(_confirmed(found, sets, percent), "links")
-        tested = tested.unionByName(found)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            comps = components(links)
-    discard(sets, members, nodes, links)
+    found = written(_open_links(members, nodes, sets, comps, percent).distinct(), "pairs")
+    more = written(_confirmed(found, sets, percent), "links")
+    if not more.isEmpty():
+        comps = components(links.unionByName(more))
+    discard(sets, members, nodes, links, more, pairs, found)
 
     label = classes.join(comps, "node", "left").select(
         "set_hi", "set_lo", F.coalesce("component", "node").alias("found"))
@@ -331,4 +368,21 @@ def duplicate_components(docs: DataFrame, size: int = 5, percent: int = 80) -> D
                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def without_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates, the smallest doc_id.
+
+    Of several rows of a kept doc_id one stays. Rows without a doc_id cannot be told apart
+    and all stay, as do documents without words.
+    """
+    found = duplicate_components(docs.select("doc_id", "text"), size, percent)
+    found = written(found.filter("doc_id is not null").groupBy(
+        F.col("doc_id").alias("__id")).agg(F.max("kept").alias("kept"),
+                                           F.count(F.lit(1)).alias("n")), "kept")
+    kept = docs.join(found.filter("kept").select("__id"),
+                     F.col("doc_id").cast("long") == F.col("__id"), "left_semi")
+    if not found.filter("kept and n > 1").isEmpty():
+        kept = kept.dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter("doc_id is null"))
+
+
 by_value(__name__)
