@@ -38,9 +38,10 @@ def op4_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    """A mixture of as many tokens as the corpus has."""
-    return mixing.mix(read(spark, folder, "documents"), budget=1.0, entropy=mixing.ENTROPY,
-                      passes=mixing.PASSES).select("doc_id", "source", "n_tokens", "epoch", "place")
+    """A mixture of one and a half times the corpus's tokens, with evener sources."""
+    mixed = mixing.mix(read(spark, folder, "documents"), budget=mixing.BUDGET,
+                       entropy=mixing.ENTROPY, passes=mixing.PASSES)
+    return mixed.select("doc_id", "source", "n_tokens", "epoch", "place")
 
 
 def op6_counterfactual_toxicity(spark: SparkSession, folder: str) -> DataFrame:

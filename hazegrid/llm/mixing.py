@@ -9,6 +9,8 @@ permutation, so documents themselves are neither sorted nor shuffled.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +44,6 @@ def _at(sources: DataFrame, exponents: list[float], budget: int | None) -> dict[
                               F.max(p / F.col("tokens")).alias("most"),
                               F.min(p / F.col("tokens")).alias("least"),
                               F.count(F.lit(1)).alias("n")).collect())
-    import math
     out = {}
     for r in rows:
         entropy = math.log(r["z"]) - r["s"] / r["z"]
@@ -98,7 +99,7 @@ def source_plan(tokens: DataFrame, budget: int | float | None, entropy: float |
     sums = tokens.groupBy("source").agg(F.sum("n_tokens").alias("tokens")).filter("tokens > 0")
     total = sums.agg(F.sum("tokens")).first()[0] or 1
     if isinstance(budget, float):
-        budget = round(budget * total)
+        budget = math.floor(budget * total)
     sums = written(sums.withColumn("share", F.col("tokens") / F.lit(float(total))), "sources")
     a = exponent(sums, budget, entropy, passes)
     p = F.pow("share", F.lit(a))
@@ -168,12 +169,14 @@ def mix(docs: DataFrame, budget: int | float | None = None, entropy: float | Non
     return out.drop("__row", "__s", "__epochs", "__cut", "__taken")
 
 
-#: Of the largest possible entropy, and of passes over one source, in the registered query.
-ENTROPY, PASSES = 0.95, 4.0
+#: Share of the corpus's tokens, of the largest possible entropy, and most passes over one
+#: source in the registered query.
+BUDGET, ENTROPY, PASSES = 1.5, 0.98, 4.0
 
 
-def oracle(entropy: float = ENTROPY, passes: float = PASSES, seed: int = 1) -> str:
-    """The registered query's rows in SQL: the budget is the corpus's own token count."""
+def oracle(budget: float = BUDGET, entropy: float = ENTROPY, passes: float = PASSES,
+           seed: int = 1) -> str:
+    """The registered query's rows in SQL."""
     scale = 10 ** DIGITS
 
     def measured(a: str) -> str:
@@ -181,7 +184,7 @@ def oracle(entropy: float = ENTROPY, passes: float = PASSES, seed: int = 1) -> s
             h := case when count(*) > 1 then (ln(sum(pow(share, {a})))
                  - sum(pow(share, {a}) * {a} * ln(share)) / sum(pow(share, {a}))) / ln(count(*))
                  else 1.0 end,
-            m := max(pow(share, {a}) / tokens) * any_value(total) / sum(pow(share, {a})))
+            m := max(pow(share, {a}) / tokens) * any_value(budget) / sum(pow(share, {a})))
             from shares)"""
 
     def halving(name: str, keep_low: str, start: str) -> str:
@@ -202,7 +205,7 @@ def oracle(entropy: float = ENTROPY, passes: float = PASSES, seed: int = 1) -> s
     sums as (select source, sum(n_tokens)::bigint as tokens from keyed group by source
              having sum(n_tokens) > 0),
     shares as (select source, tokens, tokens::double / sum(tokens) over () as share,
-                      (sum(tokens) over ())::double as total from sums),
+                      floor(sum(tokens) over () * {budget}) as budget from sums),
     {halving('by_entropy', f'x.h >= {entropy}', '')},
     {halving('by_passes', f'not x.m <= {passes}', '')},
     found as (select case when {measured('1.0')}.h < {entropy}
@@ -213,7 +216,7 @@ def oracle(entropy: float = ENTROPY, passes: float = PASSES, seed: int = 1) -> s
         else (select a from found) end as a),
     plan as (select source, tokens, a as exponent,
         pow(share, a) / sum(pow(share, a)) over () as weight,
-        floor(pow(share, a) / sum(pow(share, a)) over () * total + 1e-6)::bigint as target
+        floor(pow(share, a) / sum(pow(share, a)) over () * budget + 1e-6)::bigint as target
         from shares, chosen),
     passed as (select *, target // tokens as epochs, target - target // tokens * tokens as rest
                from plan),
