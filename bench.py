@@ -55,9 +55,9 @@ def main() -> None:
     timed("merge_sources", lambda: drained(fixtures.merged(spark, folder)))
     t.merged  # noqa: B018  (written once, read by the jobs below)
     timed("hourly_index",
-          lambda: drained(plan.hourly_index(t.merged, quantum=fixtures.QUANTUM)))
+          lambda: drained(plan.hourly_index(t.merged)))
     timed("feature_table",
-          lambda: drained(plan.build_features(t.merged, quantum=fixtures.QUANTUM)))
+          lambda: drained(plan.build_features(t.merged)))
     t.hourly, t.features  # noqa: B018
     examples = frame.training_frame(t.features, 1, 24)
     timed("training_frame", lambda: drained(examples))

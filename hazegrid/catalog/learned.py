@@ -1,17 +1,22 @@
-"""Queries that fit models; their results have no SQL counterpart."""
+"""Queries that fit models; SQL checks what holds of any right fit."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazegrid.catalog.queries import Tables, query, rounded
+from hazegrid.functions import index as aqi
 from hazegrid.operators import explain, forecast, models
 from hazegrid.operators.chunks import KEY, last_rows
 from hazegrid.operators.frame import chrono_split
 from hazegrid.operators.metrics import measure
-from hazegrid.schemas import EXPLAIN_LEADS, HORIZONS, MODEL_INPUTS
+from hazegrid.schemas import (BACKGROUND_ROWS, EXPLAIN_LEADS, EXPLAIN_ROWS, HORIZONS, MODEL_INPUTS,
+                              PREDICTION_RANGE)
 from hazegrid.session import new_folder
+from hazegrid.sources import registry, tables
 
 
 def _fit(t: Tables, day: int, fit, delta: bool = False):
@@ -26,14 +31,44 @@ def _scores(t: Tables, day: int, name: str, fit, delta: bool = False) -> DataFra
                    "rmse", "mae", "r2", "prediction_spread")
 
 
+def _every_block(t: Tables, name: str, fit, delta: bool = False) -> DataFrame:
+    parts = [_scores(t, day, name, fit, delta) for day in HORIZONS]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def ridge_scores(t):
-    return _scores(t, 1, "Ridge", models.ridge)
+    return _every_block(t, "Ridge", models.ridge)
 
 
 @query
 def ridge_delta_scores(t):
-    return _scores(t, 1, "Ridge (delta)", models.ridge, delta=True)
+    return _every_block(t, "Ridge (delta)", models.ridge, delta=True)
+
+
+@query
+def ridge_optimality(t):
+    """How far each block's fitted ridge is from the minimum of its loss, per input.
+
+    The penalised least squares' derivative by each standardised weight, in units of the
+    label's deviation; it is zero at the solution.
+    """
+    parts = []
+    for day in HORIZONS:
+        train = chrono_split(t.examples(day)).filter("split = 'train'")
+        model = models.ridge(train)
+        weights = model.stages[-1].coefficients
+        seen = model.transform(train).withColumn("_error", F.col("prediction") - F.col("y"))
+        sums = seen.agg(
+            F.count(F.lit(1)).alias("n"), F.stddev_pop("y").alias("spread"),
+            *[F.covar_pop(F.col(c).cast("double"), "_error").alias(f"c_{c}") for c in MODEL_INPUTS],
+            *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{c}") for c in MODEL_INPUTS])
+        gaps = [F.struct(F.lit(c).alias("feature"), F.abs(F.round(F.coalesce(F.try_divide(
+            F.col(f"c_{c}") + F.lit(float(w)) * F.col(f"s_{c}") ** 2 / F.col("n"),
+            F.col(f"s_{c}") * F.col("spread")), F.lit(0.0)), 5)).alias("gap"))
+            for c, w in zip(MODEL_INPUTS, weights, strict=True)]
+        parts.append(sums.select(F.lit(day).alias("block"), F.inline(F.array(*gaps))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -48,25 +83,69 @@ def boosted_delta_scores(t):
                    lambda d: models.boosted(d, rounds=4, depth=4, step=0.3), delta=True)
 
 
-@query
-def forecast_ridge(t):
-    """72 hours ahead for every station: one ridge model per block, blocks stacked."""
+#: Type of the model that serves each block.
+SERVED = {1: "delta", 2: "absolute", 3: "absolute"}
+
+
+def _registered(t: Tables) -> str:
+    """A registry with a fitted ridge model of every block, of the type that serves it."""
+    root = new_folder(t.spark, "registry")
+    for day, kind in SERVED.items():
+        delta = kind == "delta"
+        model, test = _fit(t, day, models.ridge, delta)
+        score = measure(models.predict_level(model, test, delta), []).first()
+        actual = F.col("y") + (F.col("aqi") if delta else F.lit(0.0))
+        base = measure(test.select(actual.alias("actual"), F.col("aqi").alias("predicted")), []).first()
+        registry.register(model, root, name=f"day{day}", type=kind, algorithm="Ridge",
+                          block=HORIZONS[day], features=MODEL_INPUTS,
+                          scores={**score.asDict(), "baseline_r2": base["r2"]})
+    return root
+
+
+def _forecast(t: Tables, root: str) -> DataFrame:
+    """The newest registered model of every block, applied as its manifest says."""
     latest = forecast.latest_complete(t.features)
-    parts = None
-    for day, (first, last) in HORIZONS.items():
-        model, _ = _fit(t, day, models.ridge)
-        leads = forecast.expand_leads(latest, first, last)
-        rows = leads.select(KEY, "ts", *[c.alias(n) for n, c in _inputs().items()],
-                            F.col("hours_ahead").alias("_lead"))
-        block = model.transform(rows).withColumn("hours_ahead", F.col("_lead"))
-        done = forecast.finish(block)
-        parts = done if parts is None else parts.unionByName(done)
-    return parts
+    parts = []
+    for day in SERVED:
+        model, row = registry.load(t.spark, root, f"day{day}")
+        rows = forecast.model_input(
+            forecast.expand_leads(latest, row["first_hour"], row["last_hour"]), row["features"])
+        registry.check_model_input(row["features"], rows.drop(KEY, "ts"))
+        parts.append(forecast.finish(model.transform(rows), delta=row["type"] == "delta"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def registered_models(t):
+    """What the manifest says of each newest model."""
+    listed = registry.latest_versions(registry.manifest(t.spark, _registered(t)))
+    return listed.select("model", "version", "type", "algorithm", "first_hour", "last_hour",
+                         F.size("features").alias("inputs"),
+                         F.col("features")[0].alias("first_input"))
+
 
+@query
+def forecast_registered(t):
+    """72 hours ahead from registered models, written as a table and read back.
 
-def _inputs():
-    from hazegrid.functions.features import model_column
-    return {n: model_column(n) for n in MODEL_INPUTS}
+    Shown are the keys and whether value and category follow the forecast's rules.
+    """
+    path = new_folder(t.spark, "forecast")
+    tables.write_forecast(_forecast(t, _registered(t)), path)
+    out = tables.read_forecast(t.spark, path)
+    low, high = PREDICTION_RANGE
+    return out.select(
+        KEY, "hours_ahead", "ts", "day", F.col("aqi").between(low, high).alias("in_range"),
+        (aqi.category("aqi") == F.col("category")).alias("category_fits"),
+        (aqi.colour("aqi") == F.col("colour")).alias("colour_fits"))
+
+
+@query
+def forecast_sink(t):
+    """The persistence forecast written as a table and read back, with all its columns."""
+    path = new_folder(t.spark, "forecast")
+    tables.write_forecast(forecast.persistence_forecast(t.features), path)
+    return tables.read_forecast(t.spark, path)
 
 
 def _at_lead(t: Tables, rows: DataFrame, hours: int) -> DataFrame:
@@ -78,18 +157,26 @@ def tree_attribution(t):
     """Global importance of a small boosted model over the newest 2000 rows."""
     model, _ = _fit(t, 1, lambda d: models.boosted(d, rounds=3, depth=4, step=0.3), delta=True)
     trees, weights = explain.tree_arrays(model.stages[-1], new_folder(t.spark, "trees"))
-    recent = _at_lead(t, last_rows(t.complete, 2000), EXPLAIN_LEADS[1])
+    recent = _at_lead(t, last_rows(t.complete, EXPLAIN_ROWS), EXPLAIN_LEADS[1])
     wide = explain.tree_attribution(recent, MODEL_INPUTS, trees, weights)
     return explain.top_drivers(explain.long_contributions(wide, MODEL_INPUTS))
 
 
 @query
 def ridge_attribution(t):
-    """The newest row of each station explained by its strongest contributions."""
-    model, _ = _fit(t, 1, models.ridge)
-    rows = _at_lead(t, last_rows(t.complete, 300), EXPLAIN_LEADS[1])
-    parts, _ = explain.linear_model_parts(model, rows, MODEL_INPUTS)
-    newest = _at_lead(t, forecast.latest_complete(t.features), EXPLAIN_LEADS[1])
-    each = explain.linear_attribution(newest, MODEL_INPUTS, parts)
-    return explain.explain_rows(each).select(KEY, "ts", F.size("top").alias("shown"),
-                                             F.col("top")[0]["feature"].alias("strongest"))
+    """The newest row of each station explained, for one lead time of every block.
+
+    ``gap`` is base plus all contributions less the model's own prediction.
+    """
+    parts = []
+    for day, lead in EXPLAIN_LEADS.items():
+        model, _ = _fit(t, day, models.ridge)
+        rows = _at_lead(t, last_rows(t.complete, BACKGROUND_ROWS), lead)
+        weights, base = explain.linear_model_parts(model, rows, MODEL_INPUTS)
+        newest = _at_lead(t, forecast.latest_complete(t.features), lead)
+        each = explain.linear_attribution(newest, MODEL_INPUTS, weights)
+        documents = explain.explanation(each, model.transform(newest), F.lit(base))
+        parts.append(documents.select(
+            KEY, "ts", F.lit(day).alias("block"), F.lit(lead).alias("hours_ahead"),
+            F.size("top").alias("shown"), F.abs(F.round("gap", 6)).alias("gap")))
+    return reduce(DataFrame.unionByName, parts)

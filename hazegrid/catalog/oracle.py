@@ -10,7 +10,7 @@ from hazegrid.functions.labels import LABELS, dashboard_labels
 from hazegrid.operators import explore
 from hazegrid.operators import windows as win
 from hazegrid.schemas import (EXPLAIN_ROWS, FEATURES, LAGS, LEAD_INTERACTIONS, MODEL_INPUTS,
-                              POLLUTANT_WINDOWS, POLLUTANTS, ROLLING, SENSORS, TRENDS, WEATHER,
+                              POLLUTANT_WINDOWS, POLLUTANTS, ROLLING, SENSORS, TOP_DRIVERS, TRENDS, WEATHER,
                               WEATHER_MEANS, WEATHER_VARIABLES)
 from hazegrid.sources.fixtures import ARRIVAL
 from hazegrid.sources.snapshot import SHOWN
@@ -734,10 +734,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_collector": pipeline(
             "select station_id, ts, aqi, dominant_pollutant, aqi_lag_168h, aqi_roll_std_7d, "
             "pm2_5, precip_72h from features"),
-        "stream_dedupe": "select distinct user_id % 2 as station_id, date_trunc('hour', ts) as ts "
+        "stream_dedupe": "select distinct user_id % 64 as station_id, date_trunc('hour', ts) as ts "
                          "from events",
         "stream_join": _with({**_EVENTS, "hours": (
-            "select e.user_id % 2 as station_id, date_trunc('hour', e.ts) as ts, e.event_type, "
+            "select e.user_id % 64 as station_id, date_trunc('hour', e.ts) as ts, e.event_type, "
             "v.cents from events e join ev v on e.event_id = v.event_id")},
             "select p.station_id, p.ts, p.cents::bigint as poll_cents, w.cents::bigint as wx_cents "
             "from (select station_id, ts, sum(cents) as cents from hours where "
@@ -755,6 +755,27 @@ def oracle_sql() -> dict[str, str]:
         "stream_alerts": pipeline(
             "select station_id, ts, hours_ahead, aqi, category from forecast where aqi >= 150",
             extra=forecast),
+        "ridge_optimality": (
+            "select block::int as block, feature, 0.0::double as gap from (select unnest([1, 2, 3]) "
+            f"as block), (select unnest([{', '.join(repr(c) for c in MODEL_INPUTS)}]) as feature)"),
+        "registered_models": (
+            "select 'day' || day as model, 1::bigint as version, case when day = 1 then 'delta' "
+            "else 'absolute' end as type, 'Ridge' as algorithm, (day * 24 - 23)::int as first_hour, "
+            f"(day * 24)::int as last_hour, {len(MODEL_INPUTS)}::int as inputs, "
+            f"'{MODEL_INPUTS[0]}' as first_input from (select unnest([1, 2, 3]) as day)"),
+        "forecast_registered": pipeline(
+            "select station_id, hours_ahead, ts, day, true as in_range, true as category_fits, "
+            "true as colour_fits from forecast", extra=forecast),
+        "forecast_sink": pipeline(
+            "select station_id, hours_ahead, ts, day::int as day, aqi, category, colour "
+            "from forecast", extra=forecast),
+        "ridge_attribution": pipeline(
+            "select station_id, ts, b.block::int as block, (b.block * 24 - 12)::int as hours_ahead, "
+            f"{TOP_DRIVERS}::int as shown, 0.0::double as gap from latest, "
+            "(select unnest([1, 2, 3]) as block) b", extra=forecast),
+        "model_features": (
+            "select (row_number() over () - 1)::int as position, feature from "
+            f"(select unnest([{', '.join(repr(c) for c in FEATURES)}]) as feature)"),
         "stream_two_sinks": pipeline(
             "select station_id, count(*) as local_rows, sum(aqi) as local_aqi, "
             "count(*) as served_rows, sum(aqi) as served_aqi from features group by 1"),

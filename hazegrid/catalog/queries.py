@@ -21,7 +21,7 @@ from hazegrid.schemas import (EXPLAIN_ROWS, FEATURES, HORIZONS, LAGS,
                               TRENDS, WEATHER_MEANS, WEATHER_PAYLOAD)
 from hazegrid.session import written
 from hazegrid.sources import feeds, fixtures, registry, snapshot, tables
-from hazegrid.sources.fixtures import ARRIVAL, QUANTUM
+from hazegrid.sources.fixtures import ARRIVAL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,11 +55,11 @@ class Tables:
 
     @cached_property
     def hourly(self) -> DataFrame:
-        return written(plan.hourly_index(self.merged, quantum=QUANTUM), "hourly")
+        return written(plan.hourly_index(self.merged), "hourly")
 
     @cached_property
     def features(self) -> DataFrame:
-        return written(plan.build_features(self.merged, quantum=QUANTUM), "features")
+        return written(plan.build_features(self.merged), "features")
 
     @property
     def complete(self) -> DataFrame:
@@ -266,6 +266,14 @@ def weekly_manifest(t: Tables) -> DataFrame:
         F.col("week").alias("version"), "rmse", "mae", "examples")
 
 
+@query
+def model_features(t):
+    """Inputs picked by type from the stored table's schema, in its order."""
+    names = tables.numeric_features(t.features)
+    return t.spark.createDataFrame([(i, n) for i, n in enumerate(names)],
+                                   "position int, feature string")
+
+
 @query
 def latest_model_version(t):
     return rounded(registry.latest_versions(weekly_manifest(t)), 6, "rmse", "mae")
@@ -541,12 +549,12 @@ def split_drift(t):
 
 @query
 def aqi_hourly(t):
-    return plan.hourly_index(t.merged, quantum=QUANTUM).select(
+    return plan.hourly_index(t.merged).select(
         KEY, "ts", "aqi", "dominant_pollutant")
 
 
 def _features(t: Tables, columns) -> DataFrame:
-    return plan.features(t.merged, quantum=QUANTUM).select(KEY, "ts", *columns)
+    return plan.features(t.merged).select(KEY, "ts", *columns)
 
 
 @query
@@ -578,12 +586,12 @@ def weather_windows(t):
 
 @query
 def interpolated(t):
-    return interpolate(t.merged, quantum=QUANTUM)
+    return interpolate(t.merged)
 
 
 @query
 def interpolated_whole_gaps(t):
-    return interpolate(t.merged, quantum=QUANTUM, mode="whole_gap").drop("city")
+    return interpolate(t.merged, mode="whole_gap").drop("city")
 
 
 @query
@@ -622,7 +630,7 @@ EXTENDED = ["aqi_rolling_3d", "aqi_rolling_7d", "aqi_rolling_3d_std", "aqi_rolli
 
 @query
 def extended_features(t):
-    out = plan.extended_features(t.merged, quantum=QUANTUM).select(KEY, "ts", *EXTENDED)
+    out = plan.extended_features(t.merged).select(KEY, "ts", *EXTENDED)
     return rounded(out, 6, "hour_x_weekend", "pm_ratio", "co_no2_ratio")
 
 
@@ -721,7 +729,7 @@ def feature_labels(t):
 
 @query
 def feature_table(t):
-    out = plan.build_features(t.merged, quantum=QUANTUM)
+    out = plan.build_features(t.merged)
     return rounded(out, 9, "hour_sin", "hour_cos", "month_sin", "month_cos", "wind_u", "wind_v")
 
 

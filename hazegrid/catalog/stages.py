@@ -10,7 +10,7 @@ from hazegrid.functions import index as aqi
 from hazegrid.functions.features import SEASONS
 from hazegrid.schemas import (AVERAGING, FEATURES, LAGS, POLLUTANT_WINDOWS, POLLUTANTS,
                               ROLLING, SENSORS, TRENDS, WEATHER, WEATHER_MEANS)
-from hazegrid.sources.fixtures import ARRIVAL, QUANTUM, feed_sql
+from hazegrid.sources.fixtures import ARRIVAL, feed_sql
 
 NEWEST = ", ".join(f"{c} desc" for c in ARRIVAL)
 
@@ -54,7 +54,7 @@ def _filled(limit="kp <= 3 or kn <= 3"):
                  f"/ (({c}__nh - h) + (h - {c}__ph)), {c}__pv, {c}__nv)")
         near = limit.replace("kp", f"(h - {c}__ph)").replace("kn", f"({c}__nh - h)")
         cols.append(f"case when {c} is not null then {c} when {near} "
-                    f"then floor(({guess}) / {QUANTUM}) * {QUANTUM} end as {c}")
+                    f"then {guess} end as {c}")
     return "select station_id, ts, h, city, " + ", ".join(cols) + " from seen"
 
 
@@ -83,6 +83,14 @@ def roll_sql(fn, c, hours, least):
             f"then {fn}({c}) over {_over(hours)} end")
 
 
+def units_sql(fn, c, hours, least):
+    """Sum or mean of fractions in whole millionths, which no order of adding changes."""
+    total = f"(sum(round_even({c} * 1000000.0::double, 0)::bigint) over {_over(hours)})::double"
+    n = f"(count({c}) over {_over(hours)})"
+    whole = "1000000.0::double" if fn == "sum" else f"({n}::double * 1000000.0::double)"
+    return f"case when {n} >= {least} then {total} / {whole} end"
+
+
 def std_sql(c, hours, least):
     o = _over(hours)
     n, s, q = f"(count({c}) over {o})", f"(sum({c}) over {o})", f"(sum({c} * {c}) over {o})"
@@ -96,7 +104,7 @@ def lag_sql(c, hours):
 
 def _averaged():
     return ("select *, " + ", ".join(
-        f"{roll_sql('avg', p, hours, least)} as {p}_avg"
+        f"{units_sql('avg', p, hours, least)} as {p}_avg"
         for p, (hours, least) in AVERAGING.items()) + " from filled")
 
 
@@ -124,13 +132,13 @@ def _windowed():
     cols += [f"{roll_sql(f, 'aqi', 24, 6)} as aqi_roll_{f}_1d" for f in ("max", "min")]
     for p in POLLUTANT_WINDOWS:
         cols.append(f"{lag_sql(p, 24)} as {p}_lag_24h")
-        cols.append(f"{roll_sql('avg', p, 24, 6)} as {p}_roll_24h")
+        cols.append(f"{units_sql('avg', p, 24, 6)} as {p}_roll_24h")
     cols.append(f"pressure - {lag_sql('pressure', 24)} as pressure_trend_24h")
     cols.append(f"{roll_sql('max', 'temperature', 24, 6)} - "
                 f"{roll_sql('min', 'temperature', 24, 6)} as temp_range_24h")
-    cols.append(f"{roll_sql('sum', 'precipitation', 24, 6)} as precip_24h")
-    cols.append(f"{roll_sql('sum', 'precipitation', 72, 12)} as precip_72h")
-    cols += [f"{roll_sql('avg', c, 24, 6)} as {c}_roll_24h" for c in WEATHER_MEANS]
+    cols.append(f"{units_sql('sum', 'precipitation', 24, 6)} as precip_24h")
+    cols.append(f"{units_sql('sum', 'precipitation', 72, 12)} as precip_72h")
+    cols += [f"{units_sql('avg', c, 24, 6)} as {c}_roll_24h" for c in WEATHER_MEANS]
     return "select *, " + ", ".join(cols) + " from hourly"
 
 

@@ -115,9 +115,10 @@ def require_rows(table: DataFrame, least: int = MIN_TRAINING_ROWS) -> int:
 
 def train_block(table: DataFrame, day: int, algorithms: dict, *, delta: bool = False,
                 split_mode: str = "row", target_mode: str = "time", features=FEATURES,
-                embargo_rows: int = 0) -> BlockResult:
+                embargo_rows: int = 0, least_rows: int = MIN_TRAINING_ROWS) -> BlockResult:
     """Fit the algorithms on one block, score them, and keep the best unless the
-    baseline wins."""
+    baseline wins. A table of fewer than ``least_rows`` rows is refused."""
+    require_rows(table, least_rows)
     first, last = HORIZONS[day]
     examples = chrono_split(
         training_frame(table, first, last, delta=delta, target_mode=target_mode,

@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 from hazegrid.schemas import POLLUTANTS, WEATHER
 from hazegrid.session import prepare
 
-#: Filled values are floored to this resolution where results are compared exactly.
-QUANTUM = 1.0 / 64.0
-
 _BASE = """
 select {div}(l_suppkey, 5) as station_id, l_orderkey, l_linenumber, l_partkey, l_suppkey,
        l_quantity, l_discount, l_tax, l_returnflag,

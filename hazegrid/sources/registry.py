@@ -80,3 +80,14 @@ def check_features(expected: list, df: DataFrame) -> None:
     missing = sorted(set(needed) - set(df.columns))
     if missing:
         raise ValueError(f"inputs missing: {missing}")
+
+
+def check_model_input(expected: list, df: DataFrame) -> None:
+    """Raise unless ``df`` has exactly the manifest's inputs, in the manifest's order."""
+    got = df.columns
+    missing, extra = sorted(set(expected) - set(got)), sorted(set(got) - set(expected))
+    if missing or extra:
+        raise ValueError(f"inputs missing: {missing}; not in the manifest: {extra}")
+    if list(expected) != got:
+        first = next(i for i, (a, b) in enumerate(zip(expected, got, strict=True)) if a != b)
+        raise ValueError(f"input {first} is {got[first]}, the manifest says {expected[first]}")

@@ -51,8 +51,7 @@ def versions(spark: SparkSession, path: str) -> list[int]:
 
 def _laid_out(df: DataFrame) -> DataFrame:
     """One file per station and month; a station's months spread over tasks."""
-    df = df.withColumn("month_start", F.to_date(F.date_trunc("month", "ts")))
-    return df.repartition(*PARTITIONS).sortWithinPartitions(KEY, "ts")
+    return with_month(df).repartition(*PARTITIONS).sortWithinPartitions(KEY, "ts")
 
 
 def write_version(df: DataFrame, path: str, version: int) -> str:
@@ -66,6 +65,46 @@ def _with_month(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("month_start", T.DateType())])
 
 
+def with_month(df: DataFrame) -> DataFrame:
+    return df.withColumn("month_start", F.to_date(F.date_trunc("month", "ts")))
+
+
+def months_of(df: DataFrame, column: str = "month_start") -> tuple:
+    """First and last month of a table, one row to the driver; (None, None) if it is empty."""
+    return tuple(df.agg(F.min(column), F.max(column)).first())
+
+
+def read_months(spark: SparkSession, path: str, version: int, schema=FEATURE_SCHEMA,
+                first=None, last=None) -> DataFrame:
+    """Rows with their ``month_start``, which prunes folders; bounds are literal dates.
+
+    Rows without ``ts`` only mark a station-month that has become empty (see
+    ``rewrite_months``) and are left out.
+    """
+    rows = spark.read.schema(_with_month(schema)).parquet(version_path(path, version))
+    if first is not None:
+        rows = rows.filter(F.col("month_start") >= F.lit(first.isoformat()).cast("date"))
+    if last is not None:
+        rows = rows.filter(F.col("month_start") <= F.lit(last.isoformat()).cast("date"))
+    return rows.filter("ts is not null")
+
+
+def rewrite_months(rows: DataFrame, touched: DataFrame, path: str, version: int) -> None:
+    """Put ``rows`` in place of the station-months of ``touched`` (a superset of theirs).
+
+    Overwriting replaces only the folders that get rows, so a station-month that ends up
+    empty gets one row without ``ts``. Folders are swapped at the commit of the write; a
+    failure in the middle of that commit leaves old or new folders, and repeating the
+    batch completes them.
+    """
+    emptied = touched.select(*PARTITIONS).distinct().join(
+        rows.select(*PARTITIONS).distinct(), PARTITIONS, "left_anti")
+    both = rows.unionByName(emptied, allowMissingColumns=True)
+    (both.repartition(*PARTITIONS).sortWithinPartitions(KEY, "ts").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS)
+     .parquet(version_path(path, version)))
+
+
 def read_version(spark: SparkSession, path: str, version: int | None = None,
                  schema=FEATURE_SCHEMA) -> DataFrame:
     """A version of the table (the newest by default)."""
@@ -74,8 +113,7 @@ def read_version(spark: SparkSession, path: str, version: int | None = None,
         if not found:
             raise FileNotFoundError(path)
         version = found[-1]
-    return (spark.read.schema(_with_month(schema)).parquet(version_path(path, version))
-            .select(*schema.names))
+    return read_months(spark, path, version, schema).select(*schema.names)
 
 
 def table_mark(spark: SparkSession, path: str, version: int) -> DataFrame | None:
@@ -93,25 +131,53 @@ def newer_than(df: DataFrame, marks: DataFrame | None) -> DataFrame:
             .filter(F.col("mark").isNull() | (F.col("ts") > F.col("mark"))).drop("mark"))
 
 
-def upsert_version(df: DataFrame, path: str, version: int) -> None:
+def upsert_version(df: DataFrame, path: str, version: int, schema=FEATURE_SCHEMA) -> None:
     """Add rows or replace those with the same station and hour.
 
-    Only the station-months that ``df`` touches are read and rewritten, and writing the
-    same rows again changes nothing.
+    Only the station-months that ``df`` touches are read and rewritten: the folders between
+    its first and last month by literal bounds, of those the ones it has rows for. Writing
+    the same rows again changes nothing.
     """
     spark = df.sparkSession
     if version not in versions(spark, path):
         write_version(df, path, version)
         return
-    fresh = storable(df)
-    fresh = fresh.withColumn("month_start", F.to_date(F.date_trunc("month", "ts")))
+    fresh = with_month(storable(df))
+    first, last = months_of(fresh)
+    if first is None:
+        return
     touched = fresh.select(*PARTITIONS).distinct()
-    existing = spark.read.schema(_with_month(FEATURE_SCHEMA)).parquet(version_path(path, version))
+    existing = read_months(spark, path, version, schema, first, last)
     existing = existing.join(touched, PARTITIONS, "left_semi")
-    both = upsert(existing, fresh, [KEY, "ts"])
-    (both.repartition(*PARTITIONS).sortWithinPartitions(KEY, "ts")
+    rewrite_months(upsert(existing, fresh, [KEY, "ts", "month_start"]), touched, path, version)
+
+
+FORECAST = T.StructType([T.StructField(n, kind) for n, kind in (
+    (KEY, T.LongType()), ("hours_ahead", T.IntegerType()), ("ts", T.TimestampType()),
+    ("day", T.IntegerType()), ("aqi", T.LongType()), ("category", T.StringType()),
+    ("colour", T.StringType()))])
+
+
+def write_forecast(forecast: DataFrame, path: str) -> None:
+    """Replace the forecasts of the days in question, one folder per forecast day."""
+    typed = forecast.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FORECAST])
+    (typed.repartition("day").sortWithinPartitions(KEY, "hours_ahead")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*PARTITIONS).parquet(version_path(path, version)))
+     .partitionBy("day").parquet(path))
+
+
+def read_forecast(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(FORECAST).parquet(path).select(*FORECAST.names)
+
+
+def numeric_features(df: DataFrame, skip=(KEY,)) -> list[str]:
+    """Numeric columns of a table in its own order, without keys and targets to come.
+
+    The index itself is an input; its later values (``target_...``) are not.
+    """
+    return [f.name for f in df.schema.fields
+            if isinstance(f.dataType, T.NumericType) and f.name not in skip
+            and not f.name.startswith("target_")]
 
 
 def pick_source(primary: DataFrame, candidate: DataFrame, complete: bool = True) -> DataFrame:

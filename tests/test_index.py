@@ -84,3 +84,20 @@ def test_index_is_the_largest_part(spark):
     assert each.filter(" or ".join(f"{p} > top" for p in subs)).count() == 0
     chosen = "case who " + " ".join(f"when '{p}' then {p}" for p in subs) + " end"
     assert each.filter(f"not ({chosen} <=> top)").count() == 0
+
+
+def test_labels_and_seasons_are_the_published_ones(spark):
+    from hazegrid.functions.features import calendar
+    from hazegrid.functions.labels import feature_label
+    want = {"aqi": "AQI now", "aqi_lag_168h": "AQI 1 week ago", "pm2_5": "PM2.5",
+            "aqi_vs_7d": "vs weekly average", "sqrt_hours_ahead": "hours ahead (sqrt)",
+            "aqi_x_hours": "AQI now x lead time", "some_new_input": "some new input"}
+    df = spark.createDataFrame([(k,) for k in want], "name string")
+    got = {r[0]: r[1] for r in df.select("name", feature_label("name")).collect()}
+    assert got == want
+    months = spark.range(1, 13).selectExpr("make_timestamp(2021, id, 15, 0, 0, 0) as ts")
+    seasons = [n for n in calendar() if n.startswith("season_")]
+    rows = months.select(*[calendar()[n].alias(n) for n in seasons]).collect()
+    names = [next(n for n in seasons if r[n]) for r in rows]
+    assert names == ["season_winter"] * 2 + ["season_summer"] * 3 + ["season_monsoon"] * 4 \
+        + ["season_post_monsoon"] * 2 + ["season_winter"]

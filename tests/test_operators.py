@@ -151,7 +151,7 @@ def test_ridge_is_the_closed_form(spark):
 
 
 def test_training_selects_and_scores(spark, table):
-    result = models.train_block(table, 1, {"Ridge": models.ridge}, delta=True)
+    result = models.train_block(table, 1, {"Ridge": models.ridge}, delta=True, least_rows=100)
     assert {s["model"] for s in result.scores} == {"Persistence", "Ridge"}
     assert result.winner in ("Persistence", "Ridge")
     if result.model is not None:

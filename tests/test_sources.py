@@ -10,7 +10,7 @@ from series import START, readings, sorted_pandas, to_spark
 
 from hazegrid.operators import forecast, frame, models, quality
 from hazegrid.plans.features import build_features
-from hazegrid.schemas import MODEL_INPUTS, POLLUTANT_SCHEMA
+from hazegrid.schemas import FEATURES, MODEL_INPUTS, POLLUTANT_SCHEMA
 from hazegrid.session import new_folder, shared_folder
 from hazegrid.sources import feeds, registry, snapshot, tables
 from hazegrid.streaming import collector, live
@@ -157,19 +157,122 @@ def test_collector_equals_batch_with_late_and_resent_hours(spark):
         np.testing.assert_allclose(got[c], want[c], rtol=1e-12)
 
 
-def test_live_lags_survive_batches(spark):
-    path = new_folder(spark, "index")
+def landing(spark, piece, number):
+    rows = landed(piece, number)
+    return to_spark(spark, rows).select(
+        *[F.col(f.name).cast(f.dataType) if f.name in rows.columns
+          else F.lit(None).cast(f.dataType).alias(f.name) for f in collector.LANDING_SCHEMA.fields])
+
+
+def test_collector_empties_months_that_failed_sensors_take_away(spark):
+    df = readings(1500, stations=(1, 2), seed=43, present=0.95, known=0.95)
+    failed = df[df.ts >= pd.Timestamp("2021-02-22")].copy()
+    failed[collector.POLLUTANTS + collector.WEATHER] = -9999.0
+    job = collector.Collector(new_folder(spark, "feeds"), [new_folder(spark, "live")])
+    for number, piece in ((1, df), (2, failed), (2, failed)):
+        job.apply(landing(spark, piece, number), number)
+    final = df.copy()
+    final.loc[final.ts >= pd.Timestamp("2021-02-22"), collector.POLLUTANTS + collector.WEATHER] = np.nan
+    want = sorted_pandas(build_features(to_spark(spark, final)))
+    got = tables.read_version(spark, job.features[0])
+    assert got.filter("ts >= '2021-03-02'").count() == 0 and got.filter("ts is null").count() == 0
+    got = sorted_pandas(got)
+    assert len(want) == len(got)
+    np.testing.assert_allclose(got.aqi, want.aqi)
+
+
+def test_destinations_take_batches_in_any_order(spark, table):
+    path = new_folder(spark, "sink")
+    cuts = ["2021-01-20", "2021-01-29", "2021-02-02"]
+    parts = [table.filter(F.col("ts") >= cuts[2]),
+             table.filter((F.col("ts") >= cuts[1]) & (F.col("ts") < cuts[2])),
+             table.filter(F.col("ts") < cuts[1])]
+    for part in [*parts, parts[0]]:
+        collector.append_missing(part, path, 1)
+    got = tables.read_version(spark, path, 1)
+    assert got.count() == table.count() and got.exceptAll(tables.storable(table).select(
+        *got.columns)).count() == 0
+
+
+def test_lags_of_hours_in_any_order(spark):
     df = pd.DataFrame({"station_id": 1, "aqi": np.arange(400.0)})
     df["ts"] = START + pd.to_timedelta(np.arange(400), unit="h")
-    for part in (df[:150], df[150:151], df[151:]):
-        to_spark(spark, part).coalesce(1).write.mode("append").parquet(path)
+    path, job = new_folder(spark, "index"), live.LagTable(new_folder(spark, "h"), new_folder(spark, "l"))
+    for part in (df[300:], df[150:151], df[:150], df[151:300], df[150:151]):
+        to_spark(spark, part).write.mode("append").parquet(path)
     stream = (spark.readStream.schema("station_id long, aqi double, ts timestamp")
-              .option("maxFilesPerTrigger", 1).parquet(path))
-    out = new_folder(spark, "lags")
-    live.run_to_parquet(live.live_lags(stream), out, new_folder(spark, "cp"))
-    got = spark.read.parquet(out).toPandas().sort_values("ts").reset_index(drop=True)
-    np.testing.assert_allclose(got.aqi_lag_168h, df.aqi.shift(168))
-    np.testing.assert_allclose(got.aqi_lag_1h, df.aqi.shift(1))
+              .option("maxFilesPerTrigger", 3).parquet(path))
+    job.run(stream, new_folder(spark, "cp"))
+    got = job.table(spark).toPandas().sort_values("ts").reset_index(drop=True)
+    for h in (1, 24, 168):
+        np.testing.assert_allclose(got[f"aqi_lag_{h}h"], df.aqi.shift(h))
+
+
+def test_late_hours_are_taken_within_the_stated_lateness_and_counted_beyond(spark):
+    df = pd.DataFrame({"station_id": 1, "pm2_5": np.arange(200.0) % 7})
+    df["ts"] = START + pd.to_timedelta(np.arange(200), unit="h")
+    tail = pd.DataFrame({"station_id": [-1], "pm2_5": [0.0], "ts": [START + pd.Timedelta("90d")]})
+    want = df.pm2_5.rolling(24, min_periods=18).mean().dropna()
+    for late, complete in (("200 hours", True), ("3 hours", False)):
+        path, out = new_folder(spark, "hours"), new_folder(spark, "averages")
+        for part in (df[120:], df[60:120], df[:60], tail):
+            to_spark(spark, part).coalesce(1).write.mode("append").parquet(path)
+        stream = (spark.readStream.schema("station_id long, pm2_5 double, ts timestamp")
+                  .option("maxFilesPerTrigger", 1).parquet(path))
+        dropped = live.run_to_parquet(live.hourly_averages(stream, "pm2_5", late), out,
+                                      new_folder(spark, "cp"))
+        got = spark.read.parquet(out).filter("station_id = 1 and ts < '2021-01-09 08:00:00'")
+        assert (dropped == 0) == complete
+        if complete:
+            np.testing.assert_allclose(got.toPandas().sort_values("ts").average, want)
+
+
+def test_duplicates_are_dropped_and_their_state_with_the_watermark(spark):
+    ts = START + pd.to_timedelta(np.arange(400) // 2, unit="h")
+    df = pd.DataFrame({"station_id": 1, "ts": ts})
+    path, out = new_folder(spark, "dups"), new_folder(spark, "unique")
+    for i in range(0, 400, 100):
+        to_spark(spark, df[i:i + 100]).repartition(2).write.mode("append").parquet(path)
+    stream = (spark.readStream.schema("station_id long, ts timestamp")
+              .option("maxFilesPerTrigger", 2).parquet(path))
+    query = (live.drop_duplicates(stream, "24 hours").writeStream.format("parquet")
+             .option("path", out).option("checkpointLocation", new_folder(spark, "cp"))
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert spark.read.parquet(out).count() == 200
+    assert sum(op.numRowsRemoved for p in query.recentProgress for op in p.stateOperators) > 0
+
+
+def test_stored_months_are_pruned(spark, table, capsys):
+    path = new_folder(spark, "table")
+    tables.write_version(table, path, 1)
+    first, last = tables.months_of(tables.with_month(table.filter("ts >= '2021-02-02'")))
+    tables.read_months(spark, path, 1, first=first, last=last).explain()
+    plan = capsys.readouterr().out
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "month_start" in filters and ">= 2021-02-01" in filters
+
+
+def test_model_input_must_match_the_manifest(spark, table):
+    registry.check_model_input(["aqi", "hour"], table.select("aqi", "hour"))
+    for columns in (["hour", "aqi"], ["aqi"], ["aqi", "hour", "pm10"]):
+        with pytest.raises(ValueError):
+            registry.check_model_input(["aqi", "hour"], table.select(*columns))
+
+
+def test_features_are_picked_by_type(spark, table):
+    extra = table.withColumn("target_day1", F.lit(1.0)).withColumn("note", F.lit("x"))
+    assert tables.numeric_features(extra) == FEATURES
+
+
+def test_names_are_normalised(spark):
+    df = spark.createDataFrame([(1, 2.0)], "`PM 2-5 Mean` long, `Wind Speed` double")
+    assert tables.normalise_names(df).columns == ["pm_2_5_mean", "wind_speed"]
+
+
+def test_too_small_a_table_is_not_trained_on(spark, table):
+    with pytest.raises(ValueError):
+        models.train_block(table, 1, {"Ridge": models.ridge})
 
 
 def test_staleness(spark, table):
