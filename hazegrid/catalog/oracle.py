@@ -449,7 +449,15 @@ def oracle_sql() -> dict[str, str]:
     value = f"case when event_type <> 'error' then {value}::double end"
     noisy = ("hour_sin", "hour_cos", "month_sin", "month_cos")
 
+    by_lead = {f"{c}_x_hours": f"{c} * hours_ahead" for c in LEAD_INTERACTIONS}
+    by_lead |= {"sqrt_hours_ahead": "sqrt(hours_ahead)"}
+    inputs = ", ".join(f"sum(floor(({by_lead.get(c, c)}) * 1000 + 0.5::double))::bigint as in_{c}"
+                       for c in MODEL_INPUTS if c != "hours_ahead")
+
     return {
+        "training_frame_inputs": pipeline(
+            f"select station_id, hours_ahead::int as hours_ahead, {inputs} from examples "
+            "group by station_id, hours_ahead", extra=_examples()),
         "flatten_readings": _readings_sql(),
         "flatten_weather": _weather_sql(),
         "clean_sentinel": pipeline(clean_raw, "pollutants_raw"),
@@ -463,6 +471,9 @@ def oracle_sql() -> dict[str, str]:
             "sum(aqi) as aqi_sum, sum(hour)::bigint as hour_sum, "
             "count(*) filter (where dominant_pollutant is null) as unknown "
             "from features group by station_id"),
+        "feature_sink_columns": pipeline(
+            f"select station_id, ts, city, coalesce(dominant_pollutant, 'unknown') as "
+            f"dominant_pollutant, {feature_cols} from features"),
         "high_water_mark": pipeline("select station_id, max(ts) as mark from features group by 1"),
         "verify_table": pipeline(
             f"select count(*) as rows, {len(FEATURES) + 4}::bigint as columns, "
@@ -494,6 +505,15 @@ def oracle_sql() -> dict[str, str]:
         "snapshot_readback": pipeline(
             "select station_id, hours_ahead, ts, day, aqi, category from forecast",
             extra=forecast),
+        "snapshot_daily": pipeline(
+            "select station_id, day::int as day, date, mean_aqi, min_aqi, max_aqi, "
+            f"{category_sql('mean_aqi')} as category from daily", extra={**forecast, **_daily()}),
+        "snapshot_history": pipeline(
+            "select f.station_id, f.ts, round_even(f.aqi, 0)::bigint as aqi from features f join "
+            "(select station_id, max(ts) as last from features group by 1) e on "
+            "f.station_id = e.station_id where f.ts >= e.last - interval 30 day"),
+        "snapshot_pollutants": "select station_id, pollutant, position, value from ("
+                               + _sparkline() + ")",
         "range_filter": pipeline(
             f"select station_id, ts, city, {_cols(SENSORS)} from merged where ts between "
             "timestamp '2021-02-01' and timestamp '2021-03-01'", "merged"),

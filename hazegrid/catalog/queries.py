@@ -17,12 +17,15 @@ from hazegrid.operators.chunks import KEY, fill_both_ways, last_rows, with_posit
 from hazegrid.operators.grid import hourly_grid, interpolate
 from hazegrid.plans import features as plan
 from hazegrid.schemas import (EXPLAIN_ROWS, FEATURES, HORIZONS, LAGS,
-                              POLLUTANT_PAYLOAD, POLLUTANT_WINDOWS, POLLUTANTS, ROLLING, SENSORS,
+                              MODEL_INPUTS, POLLUTANT_PAYLOAD, POLLUTANT_WINDOWS, POLLUTANTS, ROLLING, SENSORS,
                               TRENDS, WEATHER_MEANS, WEATHER_PAYLOAD)
 from hazegrid.session import written
 from hazegrid.sources import feeds, fixtures, registry, snapshot, tables
 from hazegrid.sources.fixtures import ARRIVAL
 
+#: Columns whose last digits differ between sine functions.
+ROUNDED = ["hour_sin", "hour_cos", "month_sin", "month_cos", "wind_u", "wind_v"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: "Now" for the age and gap reports, shortly after the last fixture hour.
@@ -206,6 +209,15 @@ def feature_sink_roundtrip(t):
         F.count_if(F.col("dominant_pollutant") == "unknown").alias("unknown"))
 
 
+@query
+def feature_sink_columns(t):
+    """Written as a version, read back: every row with every column."""
+    from hazegrid.session import new_folder
+    path = new_folder(t.spark, "feature-table")
+    tables.write_version(t.features, path, 1)
+    return rounded(tables.read_version(t.spark, path), 9, *ROUNDED)
+
+
 @query
 def high_water_mark(t):
     return quality.high_water_mark(t.features)
@@ -310,6 +322,32 @@ def snapshot_readback(t):
     return snapshot.snapshot_table(snapshot.read_snapshot(t.spark, path), "forecast")
 
 
+def _read_back(t: Tables) -> DataFrame:
+    from hazegrid.session import new_folder
+    path = new_folder(t.spark, "snapshot")
+    snapshot.write_snapshot(_documents(t), path)
+    return snapshot.read_snapshot(t.spark, path)
+
+
+@query
+def snapshot_daily(t):
+    """The daily summary out of documents that were written and read back."""
+    return snapshot.snapshot_table(_read_back(t), "daily")
+
+
+@query
+def snapshot_history(t):
+    """30 days of the index out of documents that were written and read back."""
+    return snapshot.snapshot_table(_read_back(t), "history")
+
+
+@query
+def snapshot_pollutants(t):
+    """The last 48 values of each pollutant out of documents."""
+    each = _read_back(t).select(KEY, F.explode("pollutant_history").alias("pollutant", "values"))
+    return each.select(KEY, "pollutant", F.posexplode("values").alias("position", "value"))
+
+
 # ------------------------------------------------- projections and filters
 
 @query
@@ -730,7 +768,7 @@ def feature_labels(t):
 @query
 def feature_table(t):
     out = plan.build_features(t.merged)
-    return rounded(out, 9, "hour_sin", "hour_cos", "month_sin", "month_cos", "wind_u", "wind_v")
+    return rounded(out, 9, *ROUNDED)
 
 
 def _frame_sums(examples: DataFrame) -> DataFrame:
@@ -748,6 +786,15 @@ def training_frame(t):
     return _frame_sums(t.all_examples())
 
 
+@query
+def training_frame_inputs(t):
+    """Every model input of all examples, in whole thousandths, summed per station and lead."""
+    examples = t.all_examples()
+    return examples.groupBy(KEY, "hours_ahead").agg(*[
+        F.sum(F.floor(F.col(c) * 1000 + 0.5)).alias(f"in_{c}") for c in MODEL_INPUTS
+        if c != "hours_ahead"])
+
+
 @query
 def training_frame_by_row(t):
     return _frame_sums(t.all_examples(target_mode="row"))
