@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from hazegrid.llm.common import by_value, extended
 
 #: Characters of a chunk and of the overlap of two chunks. Longer texts count as huge.
-CHUNK, OVERLAP = 16_384, 256
+CHUNK, OVERLAP = 32_768, 256
 #: Equal tokens needed on either side of a splice that no white space proves.
 AGREEING = 16
 #: Distinct pieces whose counts a task remembers.
-_CACHED = 1 << 18
+_CACHED = 1 << 19
 
 #: Fixed value: a split pattern whose matches hold no white space, as published with the
 #: word-level vocabulary.
