@@ -24,8 +24,21 @@ def _fit(t: Tables, day: int, fit, delta: bool = False):
     return fit(examples.filter("split = 'train'")), examples.filter("split = 'test'")
 
 
+def _ridge(t: Tables, day: int, delta: bool = False):
+    """A block's ridge model, fitted once per session, and its train and test examples."""
+    known = t.__dict__.setdefault("ridge_models", {})
+    examples = chrono_split(t.examples(day, delta=delta))
+    train = examples.filter("split = 'train'")
+    if (day, delta) not in known:
+        known[day, delta] = models.ridge(train)
+    return known[day, delta], train, examples.filter("split = 'test'")
+
+
 def _scores(t: Tables, day: int, name: str, fit, delta: bool = False) -> DataFrame:
-    model, test = _fit(t, day, fit, delta)
+    if fit is models.ridge:
+        model, _, test = _ridge(t, day, delta)
+    else:
+        model, test = _fit(t, day, fit, delta)
     out = measure(models.predict_level(model, test, delta), [])
     return rounded(out.select(F.lit(day).alias("block"), F.lit(name).alias("model"), "*"), 3,
                    "rmse", "mae", "r2", "prediction_spread")
@@ -55,8 +68,7 @@ def ridge_optimality(t):
     """
     parts = []
     for day in HORIZONS:
-        train = chrono_split(t.examples(day)).filter("split = 'train'")
-        model = models.ridge(train)
+        model, train, _ = _ridge(t, day)
         weights = model.stages[-1].coefficients
         seen = model.transform(train).withColumn("_error", F.col("prediction") - F.col("y"))
         sums = seen.agg(
@@ -89,16 +101,19 @@ SERVED = {1: "delta", 2: "absolute", 3: "absolute"}
 
 def _registered(t: Tables) -> str:
     """A registry with a fitted ridge model of every block, of the type that serves it."""
+    if "registry" in t.__dict__:
+        return t.__dict__["registry"]
     root = new_folder(t.spark, "registry")
     for day, kind in SERVED.items():
         delta = kind == "delta"
-        model, test = _fit(t, day, models.ridge, delta)
+        model, _, test = _ridge(t, day, delta)
         score = measure(models.predict_level(model, test, delta), []).first()
         actual = F.col("y") + (F.col("aqi") if delta else F.lit(0.0))
         base = measure(test.select(actual.alias("actual"), F.col("aqi").alias("predicted")), []).first()
         registry.register(model, root, name=f"day{day}", type=kind, algorithm="Ridge",
                           block=HORIZONS[day], features=MODEL_INPUTS,
                           scores={**score.asDict(), "baseline_r2": base["r2"]})
+    t.__dict__["registry"] = root
     return root
 
 
@@ -170,7 +185,7 @@ def ridge_attribution(t):
     """
     parts = []
     for day, lead in EXPLAIN_LEADS.items():
-        model, _ = _fit(t, day, models.ridge)
+        model, _, _ = _ridge(t, day)
         rows = _at_lead(t, last_rows(t.complete, BACKGROUND_ROWS), lead)
         weights, base = explain.linear_model_parts(model, rows, MODEL_INPUTS)
         newest = _at_lead(t, forecast.latest_complete(t.features), lead)
