@@ -19,8 +19,8 @@ from hazegrid.llm.common import numbered, written
 TOLERANCE = 0.001
 #: Candidate boundaries per open splitter and round.
 PROBES = 15
-#: Rows that one task numbers, about.
-CHUNK_ROWS = 50_000
+#: Rows that one task numbers, and the number of such ranges beyond which they grow instead.
+CHUNK_ROWS, MOST_CHUNKS = 20_000, 2_000
 _TIES = 63
 
 
@@ -30,15 +30,13 @@ def _whole(n: int) -> Column:
 
 
 def _below(key: Column, probes: list[int]) -> Column:
-    """How many of the ascending probes are at most ``key``, by a search tree."""
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < _whole(probes[mid]), tree(lo, mid)).otherwise(
-            tree(mid + 1, hi))
-
-    return tree(0, len(probes))
+    """How many of the ascending probes are at most ``key``, by binary search."""
+    if not probes:
+        return F.lit(0)
+    at = F.array(*[_whole(p) for p in probes])
+    steps = [1 << i for i in reversed(range(len(probes).bit_length()))]
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda n, s: F.when(
+        F.get(at, n + s - 1) <= key, n + s).otherwise(n))
 
 
 def _histogram(keyed: DataFrame, probes: list[int]) -> dict[int, tuple[int, int]]:
@@ -93,6 +91,35 @@ def splitters(keyed: DataFrame, shards: int, tolerance: float = TOLERANCE
         known |= _histogram(keyed, probes)
 
 
+def fences(keyed: DataFrame, cuts: list[int], known: dict[int, tuple[int, int]]) -> list[int]:
+    """Counted boundaries, the cuts among them, with about ``CHUNK_ROWS`` rows between two.
+
+    Gaps with more rows are probed evenly until none is left, so that the ranges tasks
+    number are bounded whatever the keys look like. Very large tables get ``MOST_CHUNKS``
+    ranges.
+    """
+    rows = max((n for _, n in known.values()), default=0)
+    most = max(CHUNK_ROWS, rows // MOST_CHUNKS)
+    while True:
+        at = sorted(known)
+        probes = set()
+        for lo, hi in zip(at, at[1:]):
+            n = known[hi][1] - known[lo][1]
+            if n > most and hi - lo > 1:
+                parts = max(16, 2 * n // most)
+                probes.update(lo + (hi - lo) * k // parts for k in range(1, parts))
+        probes = sorted(p for p in probes if p not in known)
+        if not probes:
+            break
+        known |= _histogram(keyed, probes)
+    out, last = [], 0
+    for p, after in zip(at, [*at[1:], None]):
+        if p in cuts or after is not None and known[after][1] - last > most:
+            out.append(p)
+            last = known[p][1]
+    return out
+
+
 def shard(docs: DataFrame, shards: int = 8, tolerance: float = TOLERANCE, text: str = "text"
           ) -> DataFrame:
     """``docs`` with ``size``, ``shard`` and ``slot``: ranges of doc_id of near equal bytes.
@@ -112,14 +139,9 @@ def shard(docs: DataFrame, shards: int = 8, tolerance: float = TOLERANCE, text:
     keyed = stored.withColumn("__key", key.cast("decimal(38,0)"))
     cuts, known = splitters(keyed.select("__key", "__size"), shards, tolerance)
 
-    # counted probes between the cuts split a shard into ranges that tasks can number
-    rows = max((n for _, n in known.values()), default=0)
-    fences, last = [], 0
-    for p in sorted(known):
-        if p in cuts or known[p][1] - last >= min(CHUNK_ROWS, max(1, rows // (4 * shards))):
-            fences.append(p)
-            last = known[p][1]
+    # ranges inside a shard that tasks can number
+    ranges = fences(keyed.select("__key", "__size"), cuts, known)
     out = keyed.withColumn("shard", _below(F.col("__key"), cuts))
-    out = numbered(out, ["shard"], ["__key"], "slot", _below(F.col("__key"), fences))
+    out = numbered(out, ["shard"], ["__key"], "slot", _below(F.col("__key"), ranges))
     return out.withColumnRenamed("__size", "size").withColumn(
         "slot", F.col("slot").cast("long")).drop("__key", "__tie")
