@@ -100,4 +100,7 @@ def air(humidity) -> Column:
 
 def display(value, decimals: int = 0) -> Column:
     """Half-even rounding for presentation."""
-    return F.rint(value).cast("long") if decimals == 0 else F.bround(value, decimals)
+    if decimals == 0:
+        return F.rint(value).cast("long")
+    unit = float(10 ** decimals)
+    return F.rint(value * unit) / unit

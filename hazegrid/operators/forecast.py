@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazegrid.functions import index as aqi
-from hazegrid.functions.features import model_column
+from hazegrid.functions.features import display, model_column
 from hazegrid.operators.chunks import KEY
 from hazegrid.plans.features import complete
 from hazegrid.schemas import (ALERT_LEVEL, HISTORY_DAYS, HORIZONS, MAX_LEAD, MODEL_INPUTS,
@@ -130,7 +130,7 @@ def sparkline(table: DataFrame, pollutants, hours: int = 48) -> DataFrame:
     recent = last_n(table.select(KEY, "ts", *pollutants), hours)
     long = recent.select(KEY, "ts", F.inline(F.array(*[
         F.struct(F.lit(p).alias("pollutant"),
-                 F.bround(F.coalesce(p, F.lit(0.0)), 1).alias("value")) for p in pollutants])))
+                 display(F.coalesce(p, F.lit(0.0)), 1).alias("value")) for p in pollutants])))
     rows = long.groupBy(KEY, "pollutant").agg(
         F.sort_array(F.collect_list(F.struct("ts", "value"))).alias("points"))
     values = rows.select(KEY, "pollutant", F.transform("points", lambda p: p["value"]).alias("values"))
