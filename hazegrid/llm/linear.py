@@ -17,23 +17,63 @@ def feature_id(name: str) -> int:
     return xxhash.xxh64_intdigest(name.encode("utf-8", "surrogatepass")) & (SPACE - 1)
 
 
+#: Feature entries handled at once, which bounds what a pass over the sample needs.
+_ENTRIES = 1 << 19
+
+
 class Rows:
-    """Documents as lists of distinct feature numbers, in one array."""
+    """Documents as lists of distinct feature numbers, in one array of 32-bit numbers."""
 
     def __init__(self, rows: Sequence[Sequence[int]]):
-        self.sizes = np.array([len(r) for r in rows], np.int64)
-        self.ids = np.concatenate([np.asarray(r, np.int64) for r in rows]) if len(rows) \
-            else np.empty(0, np.int64)
-        self.of = np.repeat(np.arange(len(rows)), self.sizes)
+        sizes = np.array([len(r) for r in rows], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.ids = np.concatenate([np.asarray(r, np.int32) for r in rows]) if len(rows) \
+            else np.empty(0, np.int32)
 
     def __len__(self) -> int:
-        return len(self.sizes)
+        return len(self.starts) - 1
+
+    def seen(self) -> np.ndarray:
+        """How many documents have each feature."""
+        out = np.zeros(SPACE, np.int64)
+        for _, _, ids, _ in self._blocks():
+            out += np.bincount(ids, minlength=SPACE)
+        return out
+
+    def renumbered(self, place: np.ndarray) -> Rows:
+        """The features that have a place, under its number."""
+        out = Rows([])
+        ids, sizes = [], []
+        for _, _, part, starts in self._blocks():
+            new = place[part]
+            ends = np.concatenate([[0], np.cumsum(new >= 0)])
+            sizes.append(np.diff(ends[starts]))
+            ids.append(new[new >= 0].astype(np.int32))
+        out.ids = np.concatenate([np.empty(0, np.int32), *ids])
+        out.starts = np.concatenate([[0], np.cumsum(np.concatenate([[], *sizes]))]).astype(np.int64)
+        return out
+
+    def _blocks(self):
+        """(first row, last row, ids, starts inside them) of runs of whole documents."""
+        i, n = 0, len(self)
+        while i < n:
+            j = int(np.searchsorted(self.starts, self.starts[i] + _ENTRIES, "right")) - 1
+            j = min(max(j, i + 1), n)
+            yield i, j, self.ids[self.starts[i]:self.starts[j]], \
+                self.starts[i:j + 1] - self.starts[i]
+            i = j
 
     def logits(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.of, weights[self.ids], len(self.sizes))
+        out = np.zeros(len(self))
+        for i, j, ids, starts in self._blocks():
+            out[i:j] = np.diff(np.concatenate([[0.0], np.cumsum(weights[ids])])[starts])
+        return out
 
     def back(self, per_row: np.ndarray, space: int) -> np.ndarray:
-        return np.bincount(self.ids, per_row[self.of], space)
+        out = np.zeros(space)
+        for i, j, ids, starts in self._blocks():
+            out += np.bincount(ids, np.repeat(per_row[i:j], np.diff(starts)), space)
+        return out
 
 
 def sigmoid(x):
@@ -90,16 +130,14 @@ def fit_logistic(rows: Rows, labels: np.ndarray, weights: np.ndarray | None = No
     if not len(y) or y.min() == y.max():
         rate = float(y.mean()) if len(y) else 0.0
         return np.zeros(SPACE), float(np.log((rate + 1e-3) / (1 - rate + 1e-3)))
-    seen = np.bincount(rows.ids, minlength=SPACE)
+    seen = rows.seen()
     for before, after, _ in pairs:
         for i in {*before} ^ {*after}:
             seen[i] = max(seen[i], min_rows)
     used = np.flatnonzero(seen >= min_rows)
     place = np.full(SPACE, -1)
     place[used] = np.arange(len(used))
-    keep = place[rows.ids] >= 0
-    small = Rows([])
-    small.sizes, small.ids, small.of = rows.sizes, place[rows.ids[keep]], rows.of[keep]
+    small = rows.renumbered(place)
     moves = [(place[[i for i in {*a} - {*b}]], place[[i for i in {*b} - {*a}]], s)
              for b, a, s in pairs]
     n = len(used)

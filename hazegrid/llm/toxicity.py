@@ -46,6 +46,16 @@ def word_features(word: str) -> list[int]:
     return [feature_id(word)] + [feature_id(f"{word[:n]}…") for n in STEMS if len(word) >= n]
 
 
+class _Stems(dict):
+    """Feature numbers of word beginnings, remembered up to a bound: few are new."""
+
+    def __missing__(self, stem: str) -> int:
+        found = feature_id(f"{stem}…")
+        if len(self) < _CACHED:
+            self[stem] = found
+        return found
+
+
 class Features(dict):
     """Feature numbers of white-space separated tokens, remembered up to a bound.
 
@@ -54,11 +64,14 @@ class Features(dict):
 
     def __init__(self, only=None):
         super().__init__()
-        self.only = only
+        self.only, self.stems = only, _Stems()
 
     def __missing__(self, token: str) -> tuple[int, ...]:
-        found = tuple(i for w in _LETTERS.findall(token) for i in word_features(w)
-                      if self.only is None or i in self.only)
+        only, stems, found = self.only, self.stems, []
+        for w in _LETTERS.findall(token):
+            ids = [feature_id(w)] + [stems[w[:n]] for n in STEMS if len(w) >= n]
+            found += ids if only is None else [i for i in ids if i in only]
+        found = tuple(found)
         if len(self) < _CACHED:
             self[token] = found
         return found
@@ -92,32 +105,35 @@ def sampled_rows(docs: DataFrame, labels: DataFrame, label: str, limits: dict[in
         chosen = part if chosen is None else chosen.unionByName(part)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry).join(
         F.broadcast(chosen), "doc_id")
-    made = extended(rows, ["text", *carry], {"features": "array<int>", "more": "array<int>"},
-                    features)
+    def packed():
+        function = features()
+        return lambda *columns: [[np.asarray(x, np.int32).tobytes() for x in part]
+                                 for part in function(*columns)]
+
+    # as bytes: a list of numbers would be Python objects on the driver
+    made = extended(rows, ["text", *carry], {"features": "binary", "more": "binary"}, packed)
     # a doc_id with several rows counts once
-    return made.groupBy("doc_id", "label").agg(
+    out = made.groupBy("doc_id", "label").agg(
         F.min(F.struct("features", "more")).alias("x")).select(
         "doc_id", "label", "x.*").orderBy("doc_id").toPandas()
+    for name in ("features", "more"):
+        out[name] = [np.frombuffer(x, np.int32) for x in out[name]]
+    return out
 
 
-def swaps(rows: list[list[int]], terms: Sequence[str]) -> list[tuple[list[int], list[int], float]]:
+def swaps(rows: Rows, terms: Sequence[str]) -> list[tuple[list[int], list[int], float]]:
     """Counterfactual pairs (features before, features after, strength).
 
     A document that names one group is compared with itself naming each other one, which
     changes just the terms' features; equal comparisons of several documents are summed.
     """
     feats = [word_features(t) for t in terms]
-    named = {f[0]: k for k, f in enumerate(feats)}
-    n = np.zeros(len(feats))
-    for r in rows:
-        for i in r:
-            if i in named:
-                n[named[i]] += 1
+    seen = rows.seen()
     out = []
     for k, f in enumerate(feats):
         out.append(([], f, INSERT))
-        if n[k]:
-            out.extend((f, g, SWAP * n[k] / len(feats)) for j, g in enumerate(feats) if j != k)
+        if n := int(seen[f[0]]):
+            out.extend((f, g, SWAP * n / len(feats)) for j, g in enumerate(feats) if j != k)
     return out
 
 
@@ -134,9 +150,8 @@ def fit(docs: DataFrame, labels: DataFrame, terms: Sequence[str] = tuple(IDENTIT
 
     got = sampled_rows(docs, labels.filter(in_training()), "toxic", {1: MAX_TOXIC, 0: MAX_OTHER},
                        features)
-    rows = [list(r) for r in got["features"]]
-    return fit_logistic(Rows(rows), got["label"].to_numpy(float), ridge=RIDGE, min_rows=5,
-                        pairs=swaps(rows, terms), rounds=40)
+    rows, y = Rows(got.pop("features")), got["label"].to_numpy(float)
+    return fit_logistic(rows, y, ridge=RIDGE, min_rows=5, pairs=swaps(rows, terms), rounds=40)
 
 
 def score(docs: DataFrame, labels: DataFrame, carry: Sequence[str] = ("doc_id",),
@@ -149,7 +164,7 @@ def score(docs: DataFrame, labels: DataFrame, carry: Sequence[str] = ("doc_id",)
     gives an empty result. Other columns are not read.
     """
     weights, bias = fit(docs, labels, terms)
-    used = np.flatnonzero(np.abs(weights) > 1e-4)
+    used = np.flatnonzero(np.abs(weights) > 1e-3)
     model = docs.sparkSession.sparkContext.broadcast((used.astype(np.int32),
                                                       weights[used].astype(np.float32), bias))
 

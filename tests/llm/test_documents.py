@@ -278,7 +278,8 @@ def test_shards(docs, odd, spark):
     assert sharding.shard(none(spark), 8).count() == 0
 
 
-def test_a_hot_key_is_split(spark):
+def test_a_hot_key_is_split(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "CHUNK_ROWS", 150)
     df = spark.range(4000).select(F.lit(7).cast("long").alias("doc_id"),
                                   F.repeat(F.lit("x"), (F.col("id") % 50).cast("int")).alias("text"))
     per = sharding.shard(df, 8).groupBy("shard").agg(F.sum("size").alias("b")).toPandas()["b"]
@@ -354,10 +355,10 @@ def test_counterfactual_penalty_frees_identity_terms():
     texts = [f"the foreigners are moron {i}x" for i in range(40)] + [f"the sky is blue {i}x" for i in range(80)]
     texts += [f"what a moron he is y{i}" for i in range(20)]
     y = np.array([1.0] * 40 + [0.0] * 80 + [1.0] * 20)
-    rows = [known.of(t) for t in texts]
+    rows = toxicity.Rows([known.of(t) for t in texts])
 
     def score(pairs, text):
-        w, b = toxicity.fit_logistic(toxicity.Rows(rows), y, pairs=pairs, ridge=0.3)
+        w, b = toxicity.fit_logistic(rows, y, pairs=pairs, ridge=0.3)
         return toxicity.sigmoid(sum(w[i] for i in known.of(text)) + b)
 
     plain = score([], "the foreigners is here")
