@@ -84,11 +84,16 @@ def last_rows(df: DataFrame, n: int, ts: str = "ts") -> DataFrame:
 
 def with_previous(df: DataFrame, columns, *, ts: str = "ts", prefix: str = "prev_",
                   size: int = CHUNK_HOURS) -> DataFrame:
-    """Add each station's preceding row's values, however long ago that row is."""
+    """Add each station's preceding row's values, however long ago that row is.
+
+    A station has one row per time. The newest row of a chunk is picked column by column,
+    which for numbers is a hash aggregation without sorting rows.
+    """
     marked = df.withColumn("chunk", chunk_of(epoch_hour(ts), size))
     wanted = list(columns)
     newest = marked.groupBy(KEY, "chunk").agg(
-        F.max(F.struct(ts, *[c for c in wanted if c != ts])).alias("newest"))
+        F.struct(F.max(ts).alias(ts), *[F.max_by(c, ts).alias(c) for c in wanted if c != ts])
+        .alias("newest"))
     by_chunk = Window.partitionBy(KEY).orderBy("chunk")
     carried = newest.select(KEY, "chunk", F.lag("newest").over(by_chunk).alias("carried"))
     w = chunk_window(ts)

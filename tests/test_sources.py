@@ -1,6 +1,7 @@
 """Feeds, stored tables, models, snapshots: written, read back, replayed."""
 
 import json
+import os
 
 import numpy as np
 import pandas as pd
@@ -151,6 +152,10 @@ def test_collector_equals_batch_with_late_and_resent_hours(spark):
               for f in collector.LANDING_SCHEMA.fields]), number)
     final = pd.concat([early, late, resent]).drop_duplicates(["station_id", "ts"], keep="last")
     want = sorted_pandas(build_features(to_spark(spark, final)))
+    # nothing a batch wrote on the way is left behind
+    scratch = os.listdir(new_folder(spark, "x").rsplit("/", 1)[0].removeprefix("file:"))
+    assert not [n for n in scratch if n.split("-")[0] in
+                ("batch", "changed", "observed", "reach", "fresh")]
     got = sorted_pandas(tables.read_version(spark, job.features[0]))
     assert len(want) == len(got)
     for c in ("aqi", "pm2_5", "aqi_lag_168h", "aqi_roll_std_7d", "precip_72h"):
