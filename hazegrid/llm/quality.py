@@ -34,6 +34,8 @@ _CACHED = 1 << 17
 
 _RUNS = ((re.compile(r"[^\W\d_]+"), "a"), (re.compile(r"\d+"), "0"),
          (re.compile(r"([^\w\s])\1+"), r"\1\1"))
+#: Signs: neither letters, digits nor white space.
+_SIGNS = re.compile(r"[^\w\s]+|_+")
 
 
 class Shapes(dict):
@@ -85,7 +87,7 @@ def metadata_features(source: str | None, lang: str | None, n_chars: float | Non
     capital = sum(x.lstrip()[0].isupper() for x in lines)
     closed = sum(x.rstrip()[-1] in ".!?" for x in lines)
     count = {k: text.count(k) for k in ("|", "#", "http", "@", "{", "<", "\t")}
-    signs = sum(not (c.isalnum() or c.isspace()) for c in text[::7]) * 7
+    signs = len(text) - len(_SIGNS.sub("", text))
     names = [f"s{source}", f"g{lang}", f"c{_level(recorded + 1)}", f"n{_level(n + 1)}",
              f"w{_level(width + 1)}", f"k{_level(capital / max(n, 1))}",
              f"e{_level(closed / max(n, 1))}", f"d{_level((n - len(set(lines))) / max(n, 1))}",

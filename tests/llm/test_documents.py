@@ -399,3 +399,11 @@ def test_co_training_learns_from_the_other_view():
     accuracy = ((both > 0) == (y[1400:] > 0)).mean()
     assert accuracy >= ((alone.logits(part(a, test)) > 0) == (y[1400:] > 0)).mean()
     assert len(views[0].labels) > 120 and accuracy > 0.9
+
+
+@pytest.mark.parametrize("text", [
+    "abcdef!" * 60, "!abcdef" * 60, "a!", "ab_cd__ef" * 9, "é漢字 ٣²½ \u00a0\x1c…—“”\u0301😀" * 5, ""])
+def test_signs_are_counted_in_the_whole_text(text):
+    signs = sum(not (c.isalnum() or c.isspace()) for c in text)
+    want = quality.feature_id(f"m:p{quality._level(signs / max(1, len(text)))}")
+    assert want in quality.metadata_features("a", "en", 1.0, text)
