@@ -30,7 +30,8 @@ SHARE, CERTAIN = 0.08, 0.95
 CALIBRATION = 5
 THRESHOLD = 0.5
 RIDGE = 1.0
-_CACHED = 1 << 17
+#: Shapes are remembered for so many tokens of at most so many characters.
+_CACHED, _LONG = 1 << 17, 64
 
 _RUNS = ((re.compile(r"[^\W\d_]+"), "a"), (re.compile(r"\d+"), "0"),
          (re.compile(r"([^\w\s])\1+"), r"\1\1"))
@@ -42,10 +43,10 @@ class Shapes(dict):
     """The shape of a token: letters as one a, digits as one 0, runs of a sign as two."""
 
     def __missing__(self, token: str) -> str:
-        shape = token[:64]
+        shape = token
         for pattern, to in _RUNS:
             shape = pattern.sub(to, shape)
-        if len(self) < _CACHED:
+        if len(token) <= _LONG and len(self) < _CACHED:
             self[token] = shape
         return shape
 

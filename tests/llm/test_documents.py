@@ -407,3 +407,15 @@ def test_signs_are_counted_in_the_whole_text(text):
     signs = sum(not (c.isalnum() or c.isspace()) for c in text)
     want = quality.feature_id(f"m:p{quality._level(signs / max(1, len(text)))}")
     assert want in quality.metadata_features("a", "en", 1.0, text)
+
+
+def test_shapes_are_of_whole_tokens():
+    """What follows the first 64 characters counts; long tokens are not remembered."""
+    shapes = quality.Shapes()
+    assert shapes["a" * 64 + "#$" * 500] == "a" + "#$" * 500 and not shapes
+    assert shapes["漢" * 5000 + "9" * 5000 + "!" * 5000] == "a0!!" and shapes["don't"] == "a'a"
+    assert list(shapes) == ["don't"]
+    clean, junk, ended = (set(quality.content_features("a" * 64 + x, shapes))
+                          for x in ("", "#$%" * 400, "b" * 900 + "."))
+    odd, end = (quality.feature_id(f"c:{k}{quality._level(1)}") for k in "oe")
+    assert odd in junk and odd not in clean and end in ended and end not in clean
