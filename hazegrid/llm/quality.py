@@ -1,8 +1,8 @@
 """Quality scores by co-training a text-content and a page-metadata classifier.
 
 Both views learn from a bounded sample of labelled documents. Over a few rounds each view
-labels the documents of a bounded unlabelled pool it is surest of, and the other view
-learns them too. The views' scores are calibrated and combined on labelled documents that
+labels those of all unlabelled documents it is surest of, and the other view learns them
+too: scores and gradients are sums over tables of features. The views' scores are calibrated and combined on labelled documents that
 neither learnt from, and every document is scored from its whole text and metadata.
 """
 
@@ -12,19 +12,21 @@ import math
 import re
 from collections import Counter
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazegrid.llm.common import by_value, extended
-from hazegrid.llm.linear import SPACE, Rows, feature_id, fit_logistic, sigmoid
-from hazegrid.llm.toxicity import sampled_rows
+from hazegrid.llm.common import by_value, discard, extended, written
+from hazegrid.llm.linear import (SPACE, Rows, feature_id, fit_logistic, fit_tables, on_grid, sigmoid,
+                                 summed)
 
-#: Most labelled documents of either class, and of the unlabelled pool, that are read, whole.
-MAX_GOOD, MAX_BAD, POOL = 8_000, 4_000, 6_000
+#: Most labelled documents of either class that are learnt, whole, in order of a hash.
+MAX_GOOD, MAX_BAD = 8_000, 4_000
 ROUNDS = 4
-#: Share of the pool that each view labels in a round, and the least certainty for it.
+#: Share of the unlabelled documents left that each view labels in a round, and the least certainty for it.
 SHARE, CERTAIN = 0.08, 0.95
 #: One labelled document in so many is kept for calibration.
 CALIBRATION = 5
@@ -143,11 +145,11 @@ def _surest(p: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
 
 def co_train(labelled: tuple[list, list], labels: np.ndarray, pool: tuple[list, list],
              rounds: int = ROUNDS) -> tuple[list[View], np.ndarray]:
-    """The two views and the combination (weight of either logit, intercept)."""
-    n = len(labels)
-    aside = np.arange(n) % CALIBRATION == 0
-    train = np.flatnonzero(~aside)
-    views = [View([rows[i] for i in train], labels[train]) for rows in labelled]
+    """The two views and the combination (weight of either logit, intercept).
+
+    For a pool in memory; ``co_train_table`` does the same with one of any size.
+    """
+    views, held = _first_views(labelled, labels)
     left = np.arange(len(pool[0]))
     for _ in range(rounds):
         if not len(left):
@@ -165,10 +167,157 @@ def co_train(labelled: tuple[list, list], labels: np.ndarray, pool: tuple[list,
             if chosen:
                 view.learn([pool[k][i] for i in chosen], told)
         left = np.array([i for i in left if int(i) not in taken], int)
-    held = np.flatnonzero(aside)
+    return views, _calibrated(views, labelled, labels, held)
+
+
+def _first_views(labelled: tuple[list, list], labels: np.ndarray) -> tuple[list[View], np.ndarray]:
+    """Views that know the labelled documents, and the places of those kept for calibration."""
+    aside = np.arange(len(labels)) % CALIBRATION == 0
+    train = np.flatnonzero(~aside)
+    return [View([rows[i] for i in train], labels[train]) for rows in labelled], \
+        np.flatnonzero(aside)
+
+
+def _calibrated(views: list[View], labelled: tuple[list, list], labels: np.ndarray,
+                held: np.ndarray) -> np.ndarray:
     z = np.stack([v.logits([rows[i] for i in held]) for v, rows in
                   zip(views, labelled, strict=True)], axis=1) if len(held) else np.empty((0, 2))
-    return views, _combination(z, labels[held])
+    return _combination(z, labels[held])
+
+
+#: Logits are counted in bins of 1 / _FINE between -_FAR and _FAR.
+_FAR, _FINE = 40, 64
+_BINS = 2 * _FAR * _FINE
+_DRAWS = 1 << 30
+
+
+def _sure(z: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For good and bad: which rows are sure enough, and their bins, surest first."""
+    bins = np.clip(np.floor((z + _FAR) * _FINE), 0, _BINS - 1).astype(np.int64)
+    p = sigmoid(z)
+    return [(p >= CERTAIN, _BINS - 1 - bins), (p <= 1 - CERTAIN, bins)]
+
+
+class _Steps:
+    """What the views of each round so far said, as sent to the tasks."""
+
+    def __init__(self, steps: list):
+        self.steps = []
+        for views, cuts in steps:
+            dense = []
+            for used, values, bias in views:
+                w = np.zeros(SPACE)
+                w[used] = values
+                dense.append((w, bias))
+            self.steps.append((dense, cuts))
+
+    def batch(self, batch: pa.RecordBatch):
+        """Rows of both views, which rows no round took, the last round's logits, its choice.
+
+        The choice is 1, 0 or -1 (not chosen) by view and row.
+        """
+        rows = [Rows.packed(batch.column(c)) for c in ("features", "more")]
+        draw = batch.column("draw").to_numpy(zero_copy_only=False)
+        left = np.ones(len(draw), bool)
+        for i, (views, cuts) in enumerate(self.steps):
+            logits = [r.logits(w) + b for r, (w, b) in zip(rows, views, strict=True)]
+            chosen = np.full((2, len(draw)), -1)
+            for k, cut in enumerate(cuts or ()):
+                for label, (sure, bins), (last, part) in zip((1, 0), _sure(logits[k]), cut,
+                                                             strict=True):
+                    taken = sure & ((bins < last) | ((bins == last) & (draw < part)))
+                    chosen[k, left & taken] = label
+            if i < len(self.steps) - 1:
+                left &= (chosen < 0).all(axis=0)
+        return rows, left, logits, chosen
+
+
+def _cut(counts: np.ndarray, want: int) -> tuple[int, int]:
+    """(bin, draws): bins before it are taken whole, of it the documents of fewer draws."""
+    upto = np.cumsum(counts)
+    last = int(np.searchsorted(upto, want))
+    if last == len(counts):
+        return last, 0
+    return last, int(_DRAWS * (want - upto[last] + counts[last]) / counts[last])
+
+
+def _cuts(free: DataFrame, steps) -> list | None:
+    """Where the last views' choices end, from counts of all documents left; None if none is."""
+
+    def make():
+        known = _Steps(steps.value)
+
+        def add(total, batch):
+            _, left, logits, _ = known.batch(batch)
+            for k, z in enumerate(logits):
+                at = k * (2 * _BINS + 2)
+                for j, (sure, bins) in enumerate(_sure(z)):
+                    total[at + j * _BINS:at + (j + 1) * _BINS] += np.bincount(
+                        bins[sure & left], minlength=_BINS)
+                total[at + 2 * _BINS] += left.sum()
+                total[at + 2 * _BINS + 1] += (left & (z >= 0)).sum()
+
+        return add
+
+    cuts = []
+    for part in summed(free, 2 * (2 * _BINS + 2), make).reshape(2, -1):
+        n, likely = part[2 * _BINS:]
+        if not n:
+            return None
+        most = max(1, int(n * SHARE))
+        cuts.append([_cut(part[:_BINS], max(1, int(most * likely / n))),
+                     _cut(part[_BINS:2 * _BINS], max(1, int(most * (n - likely) / n)))])
+    return cuts
+
+
+def _lessons(free: DataFrame, steps) -> DataFrame:
+    """What the last round's views teach each other: model, label, features."""
+
+    def work(batches):
+        known = _Steps(steps.value)
+        for batch in batches:
+            _, _, _, chosen = known.batch(batch)
+            for k, column in ((0, "features"), (1, "more")):
+                at = np.flatnonzero(chosen[1 - k] >= 0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), k, np.int32)),
+                     pa.array(chosen[1 - k][at].astype(np.int32)),
+                     batch.column(column).take(pa.array(at))], ["model", "label", "features"])
+
+    return free.mapInArrow(work, "model int, label int, features binary")
+
+
+def co_train_table(labelled: tuple[list, list], labels: np.ndarray, free: DataFrame,
+                   rounds: int = ROUNDS) -> tuple[list[View], np.ndarray]:
+    """``co_train`` with all rows of ``free``: features and more (bytes), draw (a hash).
+
+    A round counts the scores of all rows left, takes the surest share and writes it as
+    lessons of the other view. Among equal scores at the end of the share the draw decides.
+    """
+    views, held = _first_views(labelled, labels)
+    context = free.sparkSession.sparkContext
+    steps, lessons = [], []
+    for _ in range(rounds):
+        now = []
+        for v in views:
+            used = np.flatnonzero(on_grid(v.weights))
+            now.append((used.astype(np.int32), on_grid(v.weights[used]), on_grid(v.bias)))
+        told = context.broadcast([*steps, (now, None)])
+        cuts = _cuts(free, told)
+        told.destroy()
+        if cuts is None:
+            break
+        steps.append((now, cuts))
+        told = context.broadcast(steps)
+        lessons.append(written(_lessons(free, told), "lessons"))
+        told.destroy()
+        both = reduce(DataFrame.unionByName, lessons)
+        fitted = fit_tables([(Rows(v.rows), np.array(v.labels), v.weights, v.bias) for v in views],
+                            both, ridge=RIDGE, min_rows=3)
+        for view, (weights, bias) in zip(views, fitted, strict=True):
+            view.weights, view.bias = weights, bias
+    discard(*lessons)
+    return views, _calibrated(views, labelled, labels, held)
 
 
 def _combination(z: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -189,23 +338,52 @@ def _combination(z: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
+def _table(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, features, more, label, draw of every document with an id, written.
+
+    Of several labels of one document the largest counts; a doc_id with several rows counts once.
+    """
+    def packed():
+        views = both_views()
+        return lambda *columns: [[np.asarray(x, np.int32).tobytes() for x in part]
+                                 for part in views(*columns)]
+
+    key = F.col("doc_id").cast("long").alias("doc_id")
+    rows = docs.select(key, "text", *META).filter("doc_id is not null")
+    made = extended(rows, ["text", *META], {"features": "binary", "more": "binary"}, packed)
+    once = made.groupBy("doc_id").agg(F.min(F.struct("features", "more")).alias("x"))
+    known = labels.filter("doc_id is not null and quality is not null").groupBy(key).agg(
+        F.max("quality").cast("int").alias("label"))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(_DRAWS)).cast("int")
+    return written(once.join(known, "doc_id", "left").select(
+        "doc_id", "x.*", "label", draw.alias("draw")), "features")
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[list[View], np.ndarray]:
-    got = sampled_rows(docs, labels, "quality", {1: MAX_GOOD, 0: MAX_BAD}, both_views, META)
-    # the pool: documents without a label
-    ids = labels.filter("quality is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
-    free = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter(
-        "doc_id is not null").join(ids, "doc_id", "left_anti").withColumn("quality", F.lit(1))
-    pool = sampled_rows(docs, free, "quality", {1: POOL}, both_views, META)
+    table = _table(docs, labels)
+    try:
+        return _fit(table)
+    finally:
+        discard(table)
+
+
+def _fit(table: DataFrame) -> tuple[list[View], np.ndarray]:
+    parts = [table.filter(F.col("label") == value).select("doc_id").orderBy(
+        F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(most)
+        for value, most in ((1, MAX_GOOD), (0, MAX_BAD))]
+    got = table.join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").select(
+        "doc_id", "label", "features", "more").orderBy("doc_id").toPandas()
+    features, more = ([np.frombuffer(x, np.int32) for x in got[c]] for c in ("features", "more"))
     y = got["label"].to_numpy(float)
     if not len(y) or y.min() == y.max():
         always = float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))) if len(y) else 0.0
         views = [View([], np.empty(0)) for _ in range(2)]
         return views, np.array([0.0, 0.0, always])
-    views, mix = co_train((list(got["features"]), list(got["more"])), y,
-                          (list(pool["features"]), list(pool["more"])))
+    views, mix = co_train_table((features, more), y, table.filter("label is null").select(
+        "features", "more", "draw"))
     # the classes were sampled at different rates
-    counts = {r["c"]: r["n"] for r in labels.filter(F.col("quality").isin(0, 1)).groupBy(
-        F.col("quality").cast("int").alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r["label"]: r["n"] for r in table.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n")).collect()}
     mix = mix + [0.0, 0.0, np.log(counts[1] / counts[0]) - np.log(y.sum() / (len(y) - y.sum()))]
     return views, mix
 

@@ -419,3 +419,45 @@ def test_shapes_are_of_whole_tokens():
                           for x in ("", "#$%" * 400, "b" * 900 + "."))
     odd, end = (quality.feature_id(f"c:{k}{quality._level(1)}") for k in "oe")
     assert odd in junk and odd not in clean and end in ended and end not in clean
+
+
+def bytes_of(rows):
+    return [np.asarray(sorted(x), np.int32).tobytes() for x in rows]
+
+
+def two_views(n):
+    rng = np.random.default_rng(9)
+    y = (rng.random(n) < 0.6).astype(float)
+    return y, *([sorted({int(10 + 10 * t + rng.integers(0, 13)) + 1000 * k for _ in range(3)})
+                 for t in y] for k in (1, 2))
+
+
+def test_all_unlabelled_documents_are_candidates(spark):
+    """A table teaches what the same pool in memory does, in any order of its rows."""
+    y, a, b = two_views(9000)
+    labelled, pool = (a[:150], b[:150]), (a[150:], b[150:])
+    free = spark.createDataFrame(list(zip(bytes_of(pool[0]), bytes_of(pool[1]), range(8850))),
+                                 "features binary, more binary, draw int").withColumn(
+        "draw", F.pmod(F.xxhash64("draw"), F.lit(quality._DRAWS)).cast("int"))
+    want, mix = quality.co_train(labelled, y[:150], pool)
+    got, mixed = quality.co_train_table(labelled, y[:150], free)
+    again, _ = quality.co_train_table(labelled, y[:150], free.orderBy("draw").repartition(7))
+    for rows, w, g, h in zip((a, b), want, got, again, strict=True):
+        p, q = (quality.sigmoid(v.logits(rows)) for v in (w, g))
+        assert np.abs(p - q).mean() < 0.02 and ((p > 0.5) == (q > 0.5)).mean() > 0.99
+        assert np.allclose(g.weights, h.weights, atol=1e-6)
+
+
+def test_a_rare_kind_is_learnt_from_all_unlabelled_documents(spark, monkeypatch):
+    """4 of 9,000 unlabelled pages are of a kind no label shows; the other view teaches it."""
+    y, a, b = two_views(1200)
+    labelled = [(k, x, z, int(t)) for k, (x, z, t) in enumerate(zip(a, b, y))][:300]
+    common = [(1000 + k, a[k % 1200], b[k % 1200], None) for k in range(9000)]
+    # content is plainly bad, the metadata of a kind of its own
+    rare = [(20_000 + k, [1010, 1011, 1012], [7777], None) for k in range(4)]
+    table = spark.createDataFrame(
+        [(i, *bytes_of([x, z]), t, i * 7919 % quality._DRAWS) for i, x, z, t in labelled + common + rare],
+        "doc_id long, features binary, more binary, label int, draw int")
+    monkeypatch.setattr(quality, "SHARE", 0.5)
+    views, _ = quality._fit(table)
+    assert views[1].weights[7777] < -0.1
