@@ -86,13 +86,13 @@ def ridge_optimality(t):
 @query
 def forest_scores(t):
     """Few shallow trees: the number and depth are parameters, the rows are all used."""
-    return _scores(t, 1, "Random Forest", lambda d: models.forest(d, trees=5, depth=6))
+    return _every_block(t, "Random Forest", lambda d: models.forest(d, trees=5, depth=6))
 
 
 @query
 def boosted_delta_scores(t):
-    return _scores(t, 1, "Boosted Trees (delta)",
-                   lambda d: models.boosted(d, rounds=4, depth=4, step=0.3), delta=True)
+    return _every_block(t, "Boosted Trees (delta)",
+                        lambda d: models.boosted(d, rounds=4, depth=4, step=0.3), delta=True)
 
 
 #: Type of the model that serves each block.
@@ -169,12 +169,18 @@ def _at_lead(t: Tables, rows: DataFrame, hours: int) -> DataFrame:
 
 @query
 def tree_attribution(t):
-    """Global importance of a small boosted model over the newest 2000 rows."""
-    model, _ = _fit(t, 1, lambda d: models.boosted(d, rounds=3, depth=4, step=0.3), delta=True)
-    trees, weights = explain.tree_arrays(model.stages[-1], new_folder(t.spark, "trees"))
-    recent = _at_lead(t, last_rows(t.complete, EXPLAIN_ROWS), EXPLAIN_LEADS[1])
-    wide = explain.tree_attribution(recent, MODEL_INPUTS, trees, weights)
-    return explain.top_drivers(explain.long_contributions(wide, MODEL_INPUTS))
+    """Global importance of each block's small boosted model over the newest 2000 rows."""
+    parts = []
+    for day, lead in EXPLAIN_LEADS.items():
+        model, _ = _fit(t, day, lambda d: models.boosted(d, rounds=3, depth=4, step=0.3),
+                        delta=True)
+        trees, weights = explain.tree_arrays(model.stages[-1], new_folder(t.spark, "trees"))
+        recent = _at_lead(t, last_rows(t.complete, EXPLAIN_ROWS), lead)
+        wide = explain.tree_attribution(recent, MODEL_INPUTS, trees, weights)
+        drivers = explain.top_drivers(explain.long_contributions(wide, MODEL_INPUTS))
+        parts.append(drivers.select(F.lit(day).alias("block"), F.lit(lead).alias("hours_ahead"),
+                                    *drivers.columns))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query

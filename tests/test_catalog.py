@@ -34,3 +34,11 @@ def test_every_sql_has_its_query():
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["forest_scores", "boosted_delta_scores", "tree_attribution"])
+def test_tree_models_are_fitted_on_every_block(spark, data, name):
+    rows = entry.queries()[name](spark, data).collect()
+    assert {r["block"] for r in rows} == {1, 2, 3}
+    if name == "tree_attribution":
+        assert {(r["block"], r["hours_ahead"]) for r in rows} == {(1, 12), (2, 36), (3, 60)}
