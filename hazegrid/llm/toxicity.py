@@ -91,13 +91,15 @@ def sampled_rows(docs: DataFrame, labels: DataFrame, label: str, limits: dict[in
                  features, carry: Sequence[str] = ()) -> pd.DataFrame:
     """(doc_id, label, features, more) of at most ``limits[c]`` labelled documents per class.
 
-    Labels first: of several labels of one document the largest counts, and documents are
-    taken in order of a hash. The chosen ids are few, so they are broadcast and the texts
+    Labels first: of several labels of one document the largest counts, labels of documents
+    that ``docs`` lacks do not, and documents are taken in order of a hash. The chosen ids are few, so they are broadcast and the texts
     stay where they are. ``features`` makes a function from lists of (text, *carry) to lists
     of features and more features.
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).cast("int").alias("label"))
+    present = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    known = known.join(present, "doc_id", "left_semi")
     chosen = None
     for value, most in limits.items():
         part = known.filter(F.col("label") == value).orderBy(

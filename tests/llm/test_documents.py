@@ -461,3 +461,14 @@ def test_a_rare_kind_is_learnt_from_all_unlabelled_documents(spark, monkeypatch)
     monkeypatch.setattr(quality, "SHARE", 0.5)
     views, _ = quality._fit(table)
     assert views[1].weights[7777] < -0.1
+
+
+def test_labels_without_a_document_use_up_no_bound(spark):
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"))
+    labels = spark.range(4000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("toxic"))
+
+    def features():
+        return lambda texts: ([[1]] * len(texts), [[]] * len(texts))
+
+    got = toxicity.sampled_rows(docs, labels, "toxic", {1: 30, 0: 15}, features)
+    assert got["label"].value_counts().to_dict() == {1: 20, 0: 15}
