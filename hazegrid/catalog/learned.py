@@ -155,6 +155,18 @@ def forecast_registered(t):
         (aqi.colour("aqi") == F.col("colour")).alias("colour_fits"))
 
 
+@query
+def forecast_ridge(t):
+    """72 hours ahead for every station: one ridge model per block, blocks stacked."""
+    latest = forecast.latest_complete(t.features)
+    parts = []
+    for day, (first, last) in HORIZONS.items():
+        model, _, _ = _ridge(t, day)
+        rows = forecast.model_input(forecast.expand_leads(latest, first, last))
+        parts.append(forecast.finish(model.transform(rows)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def forecast_sink(t):
     """The persistence forecast written as a table and read back, with all its columns."""

@@ -42,3 +42,11 @@ def test_tree_models_are_fitted_on_every_block(spark, data, name):
     assert {r["block"] for r in rows} == {1, 2, 3}
     if name == "tree_attribution":
         assert {(r["block"], r["hours_ahead"]) for r in rows} == {(1, 12), (2, 36), (3, 60)}
+
+
+def test_ridge_forecast_shows_its_values(spark, data):
+    rows = entry.queries()["forecast_ridge"](spark, data).toPandas()
+    assert {"aqi", "category", "colour"} <= set(rows.columns) and rows["aqi"].between(0, 500).all()
+    per = rows.groupby("station_id")["hours_ahead"]
+    assert len(rows) and (per.nunique() == 72).all() and (per.count() == 72).all()
+    assert rows["aqi"].nunique() > 10
