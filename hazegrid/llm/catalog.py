@@ -8,8 +8,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazegrid.llm import (ann, chat, mixing, neardup, packing, quality, rules, sharding, tokens,
-                          toxicity)
+from hazegrid.llm import (ann, chat, mixing, neardup, packing, quality, resampling, rules, sharding,
+                          tokens, toxicity)
 from hazegrid.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,13 +72,24 @@ def op10_co_training(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """A quarter of the documents, drawn towards the benchmark's words and word pairs.
+
+    Null and empty texts have no features and weight 0; ties go to the smaller doc_id.
+    """
+    return resampling.resample(read(spark, folder, "documents"), read(spark, folder, "benchmark")
+                               ).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Query]:
     ops = (op1_onebit_search, op2_bbit_minhash, op3_length_buckets, op4_weak_supervision,
            op5_temperature_mixing, op6_counterfactual_toxicity, op7_token_counts,
-           op8_histogram_shards, op9_chat_snapshots, op10_co_training)
+           op8_histogram_shards, op9_chat_snapshots, op10_co_training,
+           op11_importance_resampling)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {"op5_temperature_mixing": mixing.oracle(), "op9_chat_snapshots": chat.oracle()}
+    out = {"op5_temperature_mixing": mixing.oracle(), "op9_chat_snapshots": chat.oracle(),
+           "op11_importance_resampling": resampling.oracle()}
     return out | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
