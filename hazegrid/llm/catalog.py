@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazegrid.llm import (ann, chat, mixing, neardup, packing, quality, resampling, rules, sharding,
-                          tokens, toxicity)
+                          tokens, toxicity, trie)
 from hazegrid.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,15 +81,20 @@ def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
                                ).select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """All prefixes of the rebuilt conversations; rows without a conv_id take no part."""
+    return trie.prefix_trie(read(spark, folder, "conversations"), trie.rebuilt)
+
+
 def queries() -> dict[str, Query]:
     ops = (op1_onebit_search, op2_bbit_minhash, op3_length_buckets, op4_weak_supervision,
            op5_temperature_mixing, op6_counterfactual_toxicity, op7_token_counts,
            op8_histogram_shards, op9_chat_snapshots, op10_co_training,
-           op11_importance_resampling)
+           op11_importance_resampling, op12_prefix_trie)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     out = {"op5_temperature_mixing": mixing.oracle(), "op9_chat_snapshots": chat.oracle(),
-           "op11_importance_resampling": resampling.oracle()}
+           "op11_importance_resampling": resampling.oracle(), "op12_prefix_trie": trie.oracle()}
     return out | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
