@@ -8,8 +8,8 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazegrid.llm import (ann, chat, mixing, neardup, packing, quality, resampling, rules, sharding,
-                          tokens, toxicity, trie)
+from hazegrid.llm import (ann, chat, mixing, neardup, packing, pii, quality, resampling, rules,
+                          sharding, tokens, toxicity, trie)
 from hazegrid.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,11 +86,19 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return trie.prefix_trie(read(spark, folder, "conversations"), trie.rebuilt)
 
 
+def op13_semi_markov_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every text: sure patterns, and spans a fitted field adds to them.
+
+    Null and empty texts have no spans; repeated rows are searched one by one.
+    """
+    return pii.digest(pii.find(read(spark, folder, "documents")))
+
+
 def queries() -> dict[str, Query]:
     ops = (op1_onebit_search, op2_bbit_minhash, op3_length_buckets, op4_weak_supervision,
            op5_temperature_mixing, op6_counterfactual_toxicity, op7_token_counts,
            op8_histogram_shards, op9_chat_snapshots, op10_co_training,
-           op11_importance_resampling, op12_prefix_trie)
+           op11_importance_resampling, op12_prefix_trie, op13_semi_markov_pii)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
