@@ -10,10 +10,12 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazegrid.operators import gram
 from hazegrid.operators.chunks import KEY
 from hazegrid.operators.frame import chrono_split, training_frame
 from hazegrid.operators.metrics import measure, r2_by_hour, swing
-from hazegrid.schemas import FEATURES, HORIZONS, MIN_TRAINING_ROWS, MODEL_INPUTS, RANDOM_SEED
+from hazegrid.schemas import (FEATURES, HORIZONS, LEAD_FEATURES, MIN_TRAINING_ROWS, MODEL_INPUTS,
+                              RANDOM_SEED, SPLIT_RATIO)
 
 BASELINE = "Persistence"
 
@@ -35,6 +37,26 @@ def ridge(train: DataFrame, inputs=MODEL_INPUTS, alpha: float = 1.0,
     return Pipeline(stages=[_assembler(inputs), fitted]).fit(train)
 
 
+def ridge_block(table: DataFrame, day: int, alpha: float = 1.0, *, delta: bool = False,
+                embargo_rows: int = 0, target_mode: str = "time", sums: dict | None = None
+                ) -> PipelineModel:
+    """``ridge`` on the training part of a block, without the expanded frame.
+
+    ``sums`` are those of ``train_sums``, which serve all blocks and both targets.
+    """
+    sums = sums or train_sums(table, embargo_rows=embargo_rows, target_mode=target_mode)
+    known = sums[day, gram.TRAIN, gram.TRAIN]
+    return gram.ridge_model(table.sparkSession, known.less("aqi") if delta else known, alpha)
+
+
+def train_sums(table: DataFrame, *, embargo_rows: int = 0, target_mode: str = "time",
+               features=FEATURES, ratio: float = SPLIT_RATIO, blocks: dict = HORIZONS) -> dict:
+    """Sums of all blocks by part of the chronological split, from one pass."""
+    return gram.block_sums(table, gram.split_part(ratio, embargo_rows), blocks=blocks,
+                           inputs=[*features, *LEAD_FEATURES], features=features,
+                           target_mode=target_mode)
+
+
 def forest(train: DataFrame, inputs=MODEL_INPUTS, label: str = "y", trees: int = 100,
            depth: int = 20, leaf: int = 50, sample: float = 0.3) -> PipelineModel:
     """Random forest; every tree sees a share of the examples."""
