@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from hazegrid.catalog.queries import all_queries, tables_of  # noqa: E402
-from hazegrid.operators import forecast, frame, models  # noqa: E402
+from hazegrid.operators import backtest, forecast, frame, models  # noqa: E402
 from hazegrid.operators.chunks import KEY  # noqa: E402
 from hazegrid.plans import features as plan  # noqa: E402
 from hazegrid.session import configure  # noqa: E402
@@ -79,8 +79,9 @@ def main() -> None:
     examples = frame.training_frame(t.features, 1, 24)
     timed("training_frame", lambda: drained(examples))
     fitted = []
-    timed("ridge_fit", lambda: fitted.append(models.ridge(examples)))
+    timed("ridge_fit", lambda: fitted.append(models.ridge_block(t.features, 1)))
     timed("ridge_score", lambda: drained(models.predict_level(fitted[0], examples, False)))
+    timed("rolling_origin", lambda: drained(backtest.rolling_origin(t.features)))
     for stations in STATIONS:
         ahead = many_stations(t.features, stations)
         timed(f"forecast_{stations}_stations",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hazegrid.catalog.queries import Tables, query, rounded
 from hazegrid.functions import index as aqi
-from hazegrid.operators import explain, forecast, models
+from hazegrid.operators import backtest, explain, forecast, models
 from hazegrid.operators.chunks import KEY, last_rows
 from hazegrid.operators.frame import chrono_split
 from hazegrid.operators.metrics import measure
@@ -19,6 +19,11 @@ from hazegrid.session import new_folder
 from hazegrid.sources import registry, tables
 
 
+#: Fewest table rows the registered training accepts; the smallest given tables hold fewer than
+#: the library's own floor.
+LEAST_ROWS = 500
+
+
 def _fit(t: Tables, day: int, fit, delta: bool = False):
     examples = chrono_split(t.examples(day, delta=delta))
     return fit(examples.filter("split = 'train'")), examples.filter("split = 'test'")
@@ -30,7 +35,7 @@ def _ridge(t: Tables, day: int, delta: bool = False):
     examples = chrono_split(t.examples(day, delta=delta))
     train = examples.filter("split = 'train'")
     if (day, delta) not in known:
-        known[day, delta] = models.ridge(train)
+        known[day, delta] = models.ridge_block(t.features, day, delta=delta, sums=t.train_sums)
     return known[day, delta], train, examples.filter("split = 'test'")
 
 
@@ -59,6 +64,71 @@ def ridge_delta_scores(t):
     return _every_block(t, "Ridge (delta)", models.ridge, delta=True)
 
 
+@query
+def block_moments(t):
+    """Mean and root mean square of every model input and mean product with the target, per block
+    and part of the split: what the ridge models are fitted from."""
+    rows = []
+    for (block, part, _), m in t.train_sums.items():
+        sums = m.matrix / m.n
+        for i, name in enumerate(m.inputs, 1):
+            rows.append((block, ("train", "test")[part], name, int(m.n), float(sums[0, i]),
+                         float(sums[i, -1]), float(sums[i, i]) ** 0.5))
+    found = t.spark.createDataFrame(rows, "block int, split string, input string, examples long, "
+                                    "mean double, with_target double, root_square double")
+    return rounded(rounded(found, 4, "mean", "root_square"), 2, "with_target")
+
+
+@query
+def rolling_origin(t):
+    """Ridge (level and change) and baselines, fitted and scored at the start of every month."""
+    return rounded(backtest.rolling_origin(t.features), 4, "rmse", "r2")
+
+
+@query
+def rolling_origin_baselines(t):
+    """The baselines' rows of the rolling evaluation, from the same sums."""
+    found = backtest.rolling_origin(t.features).filter(F.col("model").isin(*backtest.NAIVE))
+    return rounded(found.withColumn("origin", F.col("origin").cast("timestamp")), 6, "rmse", "r2")
+
+
+@query
+def rolling_winners(t):
+    """The model that serves each block: best mean R2 over all months, refused if a baseline."""
+    return rounded(backtest.winners(backtest.rolling_origin(t.features)), 4, "r2", "rmse",
+                   "baseline_r2")
+
+
+@query
+def trained_blocks(t):
+    """Each block's winner among fitted models and persistence, for both kinds of target."""
+    rows = []
+    for day, delta in [(d, k) for d in HORIZONS for k in (False, True)]:
+        fits = {"Ridge": lambda _, day=day, delta=delta: _ridge(t, day, delta)[0],
+                "Boosted Trees": lambda train: models.boosted(train, rounds=2, depth=3, step=0.3)}
+        result = models.train_block(t.features, day, fits, delta=delta, least_rows=LEAST_ROWS)
+        best = result.summary()
+        rows.append((day, "delta" if delta else "absolute", result.winner,
+                     result.model is not None, best["r2"], best["rmse"], best["mae"],
+                     best["baseline_r2"], best["improvement"], len(result.by_hour)))
+    found = t.spark.createDataFrame(
+        rows, "block int, target string, winner string, served boolean, r2 double, rmse double, "
+        "mae double, baseline_r2 double, improvement double, hours int")
+    return rounded(found, 4, "r2", "rmse", "mae", "baseline_r2", "improvement")
+
+
+@query
+def row_floor(t):
+    """Whether a table may train, at its own number of rows and one above."""
+    n, rows = t.features.count(), []
+    for least in (n, n + 1):
+        try:
+            rows.append((least, True, models.require_rows(t.features, least)))
+        except ValueError:
+            rows.append((least, False, n))
+    return t.spark.createDataFrame(rows, "least long, accepted boolean, rows long")
+
+
 @query
 def ridge_optimality(t):
     """How far each block's fitted ridge is from the minimum of its loss, per input.

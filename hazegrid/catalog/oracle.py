@@ -87,6 +87,38 @@ def _measure(groups, source, clip=True):
             f"stddev_pop(predicted) as prediction_spread from {source} group by {groups}")
 
 
+def _long_inputs():
+    """Examples with every model input as a row of its own."""
+    def value(name):
+        if name == "hours_ahead":
+            return "hours_ahead::double"
+        if name == "sqrt_hours_ahead":
+            return "sqrt(hours_ahead::double)"
+        if name.endswith("_x_hours"):
+            return f"{name.removesuffix('_x_hours')}::double * hours_ahead"
+        return f"{name}::double"
+
+    names = ", ".join(repr(c) for c in MODEL_INPUTS)
+    values = ", ".join(value(c) for c in MODEL_INPUTS)
+    return {"long_inputs": "select block, case when row_nr >= floor(row_count * 0.8) then 'test' "
+            f"else 'train' end as split, y::double as y, unnest([{names}]) as input, "
+            f"unnest([{values}]) as x from examples"}
+
+
+def _origins():
+    """Baselines' errors by month, and how many examples were known when it began."""
+    guess = {"Persistence": "aqi", "3-day mean": "aqi_roll_mean_3d", "Same hour yesterday": "aqi_lag_24h"}
+    names, values = ", ".join(f"'{n}'" for n in guess), ", ".join(f"{c}::double" for c in guess.values())
+    return {
+        "guesses": "select block::int as block, date_trunc('month', ts)::timestamp as origin, y::double as y, "
+                   f"unnest([{names}]) as model, unnest([{values}]) - y as e from examples",
+        "ready": "select block::int as block, date_trunc('month', ts + to_hours(hours_ahead::int))::timestamp "
+                 "as month, count(*) as n from examples group by 1, 2",
+        "known": "select o.block, o.origin, sum(r.n)::bigint as known from (select distinct block, origin "
+                 "from guesses) o join ready r on r.block = o.block and r.month < o.origin group by 1, 2",
+    }
+
+
 def _naive():
     guesses = {"Persistence": "aqi", "3-day mean": "aqi_roll_mean_3d",
                "Same hour yesterday": "aqi_lag_24h"}
@@ -775,6 +807,19 @@ def oracle_sql() -> dict[str, str]:
         "stream_alerts": pipeline(
             "select station_id, ts, hours_ahead, aqi, category from forecast where aqi >= 150",
             extra=forecast),
+        "block_moments": pipeline(
+            "select block, split, input, count(*) as examples, round(avg(x), 4) as mean, "
+            "round(avg(x * y), 2) as with_target, round(sqrt(avg(x * x)), 4) as root_square from long_inputs "
+            "group by block, split, input", extra={**_examples(), **_long_inputs()}),
+        "rolling_origin_baselines": pipeline(
+            "select block, origin, model, any_value(known) as trained_on, count(*) as examples, "
+            "round(sqrt(avg(e * e)), 6) as rmse, round(1.0 - sum(e * e) / (sum(y * y) - sum(y) * sum(y) "
+            "/ count(*)), 6) as r2 from guesses join known using (block, origin) "
+            "where known >= 1000 group by block, origin, model",
+            extra={**_examples(), **_origins()}),
+        "row_floor": pipeline("select n + k as least, k = 0 as accepted, n as rows from "
+                              "(select count(*) as n from features), "
+                              "(select unnest([0, 1])::bigint as k)", "features"),
         "ridge_optimality": (
             "select block::int as block, feature, 0.0::double as gap from (select unnest([1, 2, 3]) "
             f"as block), (select unnest([{', '.join(repr(c) for c in MODEL_INPUTS)}]) as feature)"),

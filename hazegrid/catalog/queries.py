@@ -64,6 +64,11 @@ class Tables:
     def features(self) -> DataFrame:
         return written(plan.build_features(self.merged), "features")
 
+    @cached_property
+    def train_sums(self) -> dict:
+        """Sums of all blocks' training and test examples, for every linear fit."""
+        return models.train_sums(self.features)
+
     @property
     def complete(self) -> DataFrame:
         return plan.complete(self.features)
