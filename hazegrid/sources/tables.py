@@ -74,35 +74,94 @@ def months_of(df: DataFrame, column: str = "month_start") -> tuple:
     return tuple(df.agg(F.min(column), F.max(column)).first())
 
 
+def _files(spark: SparkSession, path: str):
+    """(file system, path constructor) for a folder."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def pending_path(path: str, version: int) -> str:
+    """Where station-months wait that are written but not yet in their place."""
+    return f"{path.rstrip('/')}/_pending/version={version}"
+
+
+def _is_pending(spark: SparkSession, path: str, version: int) -> bool:
+    fs, at = _files(spark, path)
+    return fs.exists(at(f"{pending_path(path, version)}/_SUCCESS"))
+
+
+def _put_in_place(spark: SparkSession, waiting: str, target: str) -> None:
+    fs, at = _files(spark, target)
+    fs.delete(at(target), True)
+    fs.mkdirs(at(target).getParent())
+    fs.rename(at(waiting), at(target))
+
+
+def finish_swap(spark: SparkSession, path: str, version: int) -> None:
+    """Move waiting station-months to their place; writers call this before they read.
+
+    A folder leaves the waiting place only by its rename, so whatever was under way when a
+    writer stopped is taken up where it was. Waiting folders whose write never ended go.
+    """
+    pending = pending_path(path, version)
+    fs, at = _files(spark, pending)
+    if not fs.exists(at(pending)):
+        return
+    if _is_pending(spark, path, version):
+        for station in fs.listStatus(at(pending)):
+            if station.isDirectory():
+                name = station.getPath().getName()
+                for month in fs.listStatus(station.getPath()):
+                    place = f"{name}/{month.getPath().getName()}"
+                    _put_in_place(spark, f"{pending}/{place}", f"{version_path(path, version)}/{place}")
+    fs.delete(at(pending), True)
+
+
 def read_months(spark: SparkSession, path: str, version: int, schema=FEATURE_SCHEMA,
-                first=None, last=None) -> DataFrame:
-    """Rows with their ``month_start``, which prunes folders; bounds are literal dates.
+                first=None, last=None, months: list | None = None) -> DataFrame:
+    """Rows with their ``month_start``, which prunes folders; bounds and months are literal.
 
-    Rows without ``ts`` only mark a station-month that has become empty (see
-    ``rewrite_months``) and are left out.
+    Station-months that wait to be put in place (see ``rewrite_months``) are read from where
+    they wait, so a writer that stopped half-way hides nothing. Rows without ``ts`` only mark a
+    station-month that has become empty and are left out.
     """
-    rows = spark.read.schema(_with_month(schema)).parquet(version_path(path, version))
-    if first is not None:
-        rows = rows.filter(F.col("month_start") >= F.lit(first.isoformat()).cast("date"))
-    if last is not None:
-        rows = rows.filter(F.col("month_start") <= F.lit(last.isoformat()).cast("date"))
+    def pruned(folder: str) -> DataFrame:
+        rows = spark.read.schema(_with_month(schema)).parquet(folder)
+        if first is not None:
+            rows = rows.filter(F.col("month_start") >= F.lit(first.isoformat()).cast("date"))
+        if last is not None:
+            rows = rows.filter(F.col("month_start") <= F.lit(last.isoformat()).cast("date"))
+        if months is not None:
+            rows = rows.filter(F.col("month_start").isin(
+                *[F.lit(m.isoformat()).cast("date") for m in months]) if months else F.lit(False))
+        return rows
+
+    rows = pruned(version_path(path, version))
+    if _is_pending(spark, path, version):
+        waiting = pruned(pending_path(path, version))
+        moved = waiting.select(*PARTITIONS).distinct()
+        rows = rows.join(moved, PARTITIONS, "left_anti").select(*rows.columns).unionByName(waiting)
     return rows.filter("ts is not null")
 
 
 def rewrite_months(rows: DataFrame, touched: DataFrame, path: str, version: int) -> None:
     """Put ``rows`` in place of the station-months of ``touched`` (a superset of theirs).
 
-    Overwriting replaces only the folders that get rows, so a station-month that ends up
-    empty gets one row without ``ts``. Folders are swapped at the commit of the write; a
-    failure in the middle of that commit leaves old or new folders, and repeating the
-    batch completes them.
+    A station-month that ends up empty gets one row without ``ts``. The new folders are written
+    whole beside the table; their success marker is the moment of change, as readers follow it.
+    Then each folder is renamed into its place. A writer that stops anywhere leaves the old
+    table or the new one, and the next writer ends what is left to rename. One writer at a time.
     """
+    spark = rows.sparkSession
     emptied = touched.select(*PARTITIONS).distinct().join(
         rows.select(*PARTITIONS).distinct(), PARTITIONS, "left_anti")
     both = rows.unionByName(emptied, allowMissingColumns=True)
+    fs, at = _files(spark, path)
+    fs.mkdirs(at(version_path(path, version)))
     (both.repartition(*PARTITIONS).sortWithinPartitions(KEY, "ts").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS)
-     .parquet(version_path(path, version)))
+     .option("partitionOverwriteMode", "static").partitionBy(*PARTITIONS)
+     .parquet(pending_path(path, version)))
+    finish_swap(spark, path, version)
 
 
 def read_version(spark: SparkSession, path: str, version: int | None = None,
@@ -142,6 +201,7 @@ def upsert_version(df: DataFrame, path: str, version: int, schema=FEATURE_SCHEMA
     if version not in versions(spark, path):
         write_version(df, path, version)
         return
+    finish_swap(spark, path, version)
     fresh = with_month(storable(df))
     first, last = months_of(fresh)
     if first is None:

@@ -12,7 +12,7 @@ from series import START, readings, sorted_pandas, to_spark
 from hazegrid.operators import forecast, frame, models, quality
 from hazegrid.plans.features import build_features
 from hazegrid.schemas import FEATURES, MODEL_INPUTS, POLLUTANT_SCHEMA
-from hazegrid.session import new_folder, shared_folder
+from hazegrid.session import new_folder, shared_folder, written
 from hazegrid.sources import feeds, registry, snapshot, tables
 from hazegrid.streaming import collector, live
 
@@ -155,7 +155,7 @@ def test_collector_equals_batch_with_late_and_resent_hours(spark):
     # nothing a batch wrote on the way is left behind
     scratch = os.listdir(new_folder(spark, "x").rsplit("/", 1)[0].removeprefix("file:"))
     assert not [n for n in scratch if n.split("-")[0] in
-                ("batch", "changed", "observed", "reach", "fresh")]
+                ("batch", "changed", "observed", "reach", "outer", "stale", "fresh")]
     got = sorted_pandas(tables.read_version(spark, job.features[0]))
     assert len(want) == len(got)
     for c in ("aqi", "pm2_5", "aqi_lag_168h", "aqi_roll_std_7d", "precip_72h"):
@@ -287,3 +287,86 @@ def test_staleness(spark, table):
 
 def test_shared_folder_is_the_session_setting(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def applied(spark, pieces):
+    job = collector.Collector(new_folder(spark, "feeds"), [new_folder(spark, "live")])
+    for number, piece in pieces:
+        job.apply(landing(spark, piece, number), number)
+    return job
+
+
+def test_an_old_and_a_fresh_reading_rebuild_two_short_stretches(spark):
+    df = readings(9000, stations=(1, 2), seed=47, present=0.97, known=0.97)
+    old = df[(df.station_id == 1) & (df.ts >= START + pd.Timedelta("1000h"))].head(1).copy()
+    old["pm2_5"] = 333.0
+    new = df[df.ts >= START + pd.Timedelta("8990h")]
+    early = df.drop(new.index)
+    job = applied(spark, [(1, early)])
+    piece = pd.concat([old, new], ignore_index=True)
+    batch = written(collector.clean_sentinel(collector.to_hour(landing(spark, piece, 2))), "batch")
+    changed = collector.changed_hours(batch)
+    assert sorted((r.station_id, r.low == r.high) for r in changed.collect()) == [
+        (1, False), (1, True), (2, False)]
+    job.apply(batch, 2)
+    fresh, stale = job.rebuilt(spark, changed)
+    assert stale.count() == 3
+    # two stretches of station 1 and one of station 2, none longer than look-back and some slack
+    assert 200 < fresh.count() < 3 * 400
+    final = pd.concat([df, old]).drop_duplicates(["station_id", "ts"], keep="last")
+    want = sorted_pandas(build_features(to_spark(spark, final)))
+    got = sorted_pandas(tables.read_version(spark, job.features[0]))
+    assert len(want) == len(got)
+    for c in ("aqi", "pm2_5", "aqi_lag_168h", "aqi_roll_std_7d", "precip_72h"):
+        np.testing.assert_allclose(got[c], want[c], rtol=1e-12)
+
+
+def test_stretches_merge(spark):
+    rows = [(1, 0, 5), (1, 3, 9), (1, 12, 14), (1, 30, 31), (2, 7, 7)]
+    got = collector.merged_ranges(spark.createDataFrame(rows, "station_id long, low long, high long"), 4)
+    assert sorted(map(tuple, got.collect())) == [(1, 0, 14), (1, 30, 31), (2, 7, 7)]
+
+
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("stop_at", ["deleted", "unfinished"])
+def test_a_stopped_commit_loses_nothing(spark, monkeypatch, stop_at):
+    df = readings(1600, stations=(1, 2), seed=53, present=0.95, known=0.95)
+    late = df[(df.ts >= START + pd.Timedelta("700h")) & (df.ts < START + pd.Timedelta("760h"))]
+    early = df.drop(late.index)
+    job = applied(spark, [(1, early)])
+    feed, version = job._path("pollutants"), job.version
+    before = job._feed(spark, "pollutants").count()
+
+    def failing(spark_, waiting, target):
+        # what a commit does first to a folder, and then no more
+        fs, at = tables._files(spark_, target)
+        fs.delete(at(target), True)
+        raise Stopped
+
+    with monkeypatch.context() as patch:
+        if stop_at == "unfinished":
+            patch.setattr(tables, "finish_swap", lambda *a: None)
+        patch.setattr(tables, "_put_in_place", failing)
+        if stop_at == "unfinished":
+            job._store(spark, "pollutants", landing(spark, late, 2).filter("feed = 'pollutants'").select(
+                "station_id", "ts", "arrival", "city", *collector.POLLUTANTS))
+            # the write itself was cut off: no marker
+            fs, at = tables._files(spark, feed)
+            fs.delete(at(f"{tables.pending_path(feed, version)}/_SUCCESS"), False)
+        else:
+            with pytest.raises(Stopped):
+                job.apply(landing(spark, late, 2), 2)
+    # readers see the new table, or the old one where the write had not ended
+    now = job._feed(spark, "pollutants").count()
+    assert now == (before if stop_at == "unfinished" else len(df))
+    job.apply(landing(spark, late, 2), 2)
+    want = sorted_pandas(build_features(to_spark(spark, df)))
+    got = sorted_pandas(tables.read_version(spark, job.features[0]))
+    assert len(want) == len(got)
+    for c in ("aqi", "pm2_5", "aqi_lag_168h", "precip_72h"):
+        np.testing.assert_allclose(got[c], want[c], rtol=1e-12)
+    fs, at = tables._files(spark, feed)
+    assert not fs.exists(at(tables.pending_path(feed, version)))
