@@ -1,7 +1,7 @@
 """Near-duplicate documents by b-bit MinHash, confirmed on whole shingle sets.
 
 1. Every document becomes its shingle-set hash, the keys of its bands of minima and the
-   low bits of its minima, packed. Equal sets collapse to one node (their smallest doc_id).
+   low bits of its minima, packed. Equal sets collapse to one node.
 2. In every bucket of a band, each node is a candidate partner of the smallest node. Pairs
    whose packed bits put them far below the threshold are dropped, the others are confirmed
    on whole sets, and confirmed links are joined into components.
@@ -38,17 +38,17 @@ LANES = 64 // BITS
 #: 0.03 at 0.8; candidates are dropped only this far below the threshold (6 deviations).
 MARGIN = 0.18
 SEED = 20210401
-_CACHED_WORDS = 1 << 19
+_CACHED_WORDS, _LONG_WORD = 1 << 19, 64
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 class _Words(dict):
-    """Hashes of words, remembered up to a bound."""
+    """Hashes of words, remembered up to a bound of words and of their length."""
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh64_intdigest(word)
-        if len(self) < _CACHED_WORDS:
+        if len(word) <= _LONG_WORD and len(self) < _CACHED_WORDS:
             self[word] = value
         return value
 
@@ -124,7 +124,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 if not len(s):
                     rows.append((0, None, None, None, None))
                     continue
-                hi, lo = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64).tolist()
+                hi, lo = _set_hash(s)
                 low = minima(s, a, b)
                 rows.append((len(s), hi, lo, band_keys(low), packed_bits(low)))
             return tuple(zip(*rows, strict=True))
@@ -141,15 +141,26 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, shingles) of documents that have words."""
+    """(doc_id, shingles, set_hi, set_lo) of documents that have words."""
     def make():
         words = _Words()
-        return lambda texts: ([shingle_hashes(t, size, words).view(np.int64) for t in texts],)
 
-    return extended(_texts(docs), ["text"], {"shingles": "array<long>"}, make).filter(
+        def sets(texts: list) -> tuple:
+            found = [shingle_hashes(t, size, words) for t in texts]
+            hashes = [_set_hash(x) for x in found]
+            return [x.view(np.int64) for x in found], *zip(*hashes, strict=True)
+
+        return sets
+
+    return extended(_texts(docs), ["text"], {
+        "shingles": "array<long>", "set_hi": "long", "set_lo": "long"}, make).filter(
         F.size("shingles") > 0)
 
 
+def _set_hash(shingles: np.ndarray) -> tuple[int, int]:
+    return tuple(np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), np.int64).tolist())
+
+
 def estimated_similarity(a: Column, b: Column) -> Column:
     """Similarity from packed signatures: equal lanes, less those equal by chance."""
     ones = sum(1 << (BITS * i) for i in range(LANES))
@@ -167,15 +178,30 @@ def estimated_similarity(a: Column, b: Column) -> Column:
     return ((1 - differing / F.lit(float(MINIMA))) - chance) / (1 - chance)
 
 
+#: Pairs of one pivot that one task confirms, about.
+PIVOT_PAIRS = 1000
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs whose whole sets overlap enough."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s1"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("s2"))
+    """Those pairs (a, b) whose whole sets overlap enough.
+
+    A pivot stands on the right of many pairs: its set is copied once per ``PIVOT_PAIRS`` of
+    them, so that no task confirms them all.
+    """
+    pairs = pairs.select("a", "b").distinct()
+    heavy = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("c")).filter(
+        F.col("c") > PIVOT_PAIRS).select("b", F.ceil(F.col("c") / PIVOT_PAIRS).alias("copies"))
+    salt = F.pmod(F.xxhash64("a"), F.coalesce("copies", F.lit(1))).alias("salt")
+    dealt = pairs.join(heavy, "b", "left").select("a", "b", salt)
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s1"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("s2")).join(
+        heavy, "b", "left").select("b", "s2", F.explode(F.sequence(
+            F.lit(0).cast("long"), F.coalesce("copies", F.lit(1)) - 1)).alias("salt"))
     both = F.size(F.array_intersect("s1", "s2"))
-    return (pairs.select("a", "b").join(left, "a").join(right, "b")
+    return (dealt.join(left, "a").join(right, ["b", "salt"])
             .select("a", "b", both.alias("both"), (F.size("s1") + F.size("s2")).alias("sizes"))
             .filter(F.lit(100) * F.col("both") >= F.lit(percent) * (F.col("sizes") - F.col("both")))
-            .select("a", "b").distinct())
+            .select("a", "b"))
 
 
 def _sorted_groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
@@ -210,8 +236,11 @@ class _Groups:
         self.of[self.of == self.of[y]] = self.of[x]
 
 
-#: Equal 32-bit hashes of different shingles that a comparison allows for.
-SLACK = 2
+#: Bits of the hashes that blocks compare sets by.
+SHORT = 32
+#: Equal short hashes of different shingles that a comparison allows for, and how many times
+#: the number to be expected.
+SLACK, EXPECTED = 2, 8
 #: Sets compared in one go.
 _AT_ONCE = 128
 
@@ -219,14 +248,16 @@ _AT_ONCE = 128
 def _across(group: pd.DataFrame, floor: float, percent: int) -> list[tuple]:
     """Links of one block (or between two blocks of a bucket) that join components.
 
-    Sets are compared by 32-bit hashes, so a pair so close to the threshold that chance
-    hits could decide it is put out without joining anything here; the caller confirms.
+    Sets are compared by short hashes, so a pair so close to the threshold that chance hits
+    could decide it is put out without joining anything here; the caller confirms. Shingles
+    of one set with equal short hashes are known by number, so no pair is lost to them.
     """
     node, size = group["node"].to_numpy(), group["n_shingles"].to_numpy()
     side = group["block"].to_numpy()
     bits = np.stack(group["packed"].to_numpy()).view(np.uint64)
     keys = np.stack(group["bands"].to_numpy())
     sets = [np.frombuffer(x, np.uint32) for x in group["short"]]
+    merged = size - np.array([len(x) for x in sets])
     band, two = group["band"].iloc[0], group["i"].iloc[0] != group["j"].iloc[0]
     groups = _Groups(group["component"].to_numpy())
     common = np.bincount(groups.of).argmax()
@@ -257,8 +288,10 @@ def _across(group: pd.DataFrame, floor: float, percent: int) -> list[tuple]:
             hit = sets[x][np.minimum(np.searchsorted(sets[x], every), len(sets[x]) - 1)] == every
             both = np.add.reduceat(hit, np.cumsum([0] + [len(q) for q in parts[:-1]]), dtype=np.int64)
             sizes = size[some] + size[x]
-            linked = 100 * both >= percent * (sizes - both)
-            sure = 100 * (both - SLACK) >= percent * (sizes - both + SLACK)
+            most = both + np.minimum(merged[some], merged[x])
+            least = both - SLACK - np.ceil(EXPECTED * size[some] * float(size[x]) / 2.0 ** SHORT)
+            linked = 100 * most >= percent * (sizes - most)
+            sure = 100 * least >= percent * (sizes - least)
             for y in some[linked & ~sure]:
                 out.append((node[x], node[y]))
             for y in some[sure]:
@@ -284,18 +317,19 @@ def _open_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, comps: Da
     still = still.filter("lo <> hi and c > 2").select(
         "key", F.ceil(F.col("c") / BLOCK).cast("int").alias("nb"))
     dealt = written(placed.join(still, "key"), "open")
-    ids = dealt.select(F.col("node").alias("doc_id")).distinct()
+    ids = dealt.select("node").distinct()
+    drop = np.uint64(64 - SHORT)
 
     def make():
         def short(rows: list) -> tuple:
-            return ([np.unique((np.array(x, np.int64).view(np.uint64) >> np.uint64(32))
+            return ([np.unique((np.array(x, np.int64).view(np.uint64) >> drop)
                                .astype(np.uint32)).tobytes() for x in rows],)
 
         return short
 
-    short = extended(sets.join(ids, "doc_id", "left_semi"), ["shingles"], {"short": "binary"}, make)
-    short = short.groupBy("doc_id").agg(F.max("short").alias("short"))
-    each = written(nodes.join(short, F.col("doc_id") == F.col("node")).drop("doc_id"), "sets")
+    short = extended(sets.join(ids, "node", "left_semi").select("node", "shingles"), ["shingles"],
+                     {"short": "binary"}, make)
+    each = written(nodes.select("node", "n_shingles", "bands", "packed").join(short, "node"), "sets")
     block = F.pmod(F.xxhash64("node"), "nb").cast("int")
     dealt = (dealt.withColumn("block", block)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
@@ -320,17 +354,19 @@ def duplicate_components(docs: DataFrame, size: int = 5, percent: int = 80) -> D
 
     ``docs`` is read several times and must give the same rows each time (stored tables do).
     Null, empty and blank texts have no shingles and stand alone. Rows that share a doc_id
-    count as one document and all get its component. A row without a doc_id joins no
-    component of its own: it gets that of documents with the same set, else null, and is
-    kept in the latter case only. An empty table gives an empty result. Other columns are
-    not read.
+    are one document, linked by any of its texts, and all get its component. A row without a
+    doc_id joins no component of its own: it gets that of documents with the same set, else
+    null, and is kept in the latter case only. An empty table gives an empty result. Other
+    columns are not read.
     """
-    sig = written(signatures(docs, size), "signatures")
-    classes = sig.filter("n_shingles > 0").groupBy("set_hi", "set_lo").agg(
-        F.min("doc_id").alias("node"))
-    classes = written(classes, "classes")
-    nodes = written(sig.join(classes, ["set_hi", "set_lo"]).filter("doc_id = node").select(
-        "node", "n_shingles", "bands", "packed"), "nodes")
+    sig = written(signatures(docs, size).withColumn("row", F.monotonically_increasing_id()),
+                  "signatures")
+    known = sig.filter("n_shingles > 0 and doc_id is not null")
+    # a node is a distinct set; its number is that of its first row
+    classes = written(known.groupBy("set_hi", "set_lo").agg(
+        F.min("row").alias("node"), F.min("doc_id").alias("first_doc")), "classes")
+    nodes = written(known.join(classes, ["set_hi", "set_lo"]).filter("row = node").select(
+        "node", "doc_id", "set_hi", "set_lo", "n_shingles", "bands", "packed"), "nodes")
     slots = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     shared = slots.groupBy("key").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("c"))
     members = written(slots.join(shared.filter("c > 1"), "key").select(
@@ -348,9 +384,24 @@ def duplicate_components(docs: DataFrame, size: int = 5, percent: int = 80) -> D
     pairs = written(pairs, "pairs")
 
     # whole sets of the nodes that any bucket holds with another: later steps need them too
-    held = members.select(F.col("node").alias("doc_id")).distinct()
-    sets = written(shingle_sets(docs.join(held, "doc_id", "left_semi"), size), "sets")
-    links = written(_confirmed(pairs, sets, percent), "links")
+    held = nodes.join(members.select("node").distinct(), "node", "left_semi").select(
+        "node", "doc_id", "set_hi", "set_lo")
+    whole = shingle_sets(docs.join(held.select("doc_id").distinct(), "doc_id", "left_semi"), size)
+    sets = written(whole.join(held, ["doc_id", "set_hi", "set_lo"]).select("node", "shingles"), "sets")
+    # documents with several rows: their texts belong together, and a set may come twice
+    several = written(sig.filter("doc_id is not null").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"), "several")
+    any_several = not several.isEmpty()
+    if any_several:
+        sets = written(sets.dropDuplicates(["node"]), "sets")
+    links = _confirmed(pairs, sets, percent)
+    if any_several:
+        texts = known.select("doc_id", "set_hi", "set_lo").join(several, "doc_id").join(
+            classes, ["set_hi", "set_lo"]).select("doc_id", F.col("node").alias("a")).distinct()
+        own = texts.join(texts.groupBy("doc_id").agg(F.min("a").alias("b")), "doc_id").filter(
+            "a <> b").select("a", "b").distinct()
+        links = links.unionByName(own)
+    links = written(links, "links")
     comps = components(links)
     found = written(_open_links(members, nodes, sets, comps, percent).distinct(), "pairs")
     more = written(_confirmed(found, sets, percent), "links")
@@ -358,11 +409,16 @@ def duplicate_components(docs: DataFrame, size: int = 5, percent: int = 80) -> D
         comps = components(links.unionByName(more))
     discard(sets, members, nodes, links, more, pairs, found)
 
-    label = classes.join(comps, "node", "left").select(
-        "set_hi", "set_lo", F.coalesce("component", "node").alias("found"))
-    # a doc_id that stands for several sets is one document
+    placed = classes.join(comps, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+    first = placed.groupBy("component").agg(F.min("first_doc").alias("found"))
+    label = placed.join(first, "component").select("set_hi", "set_lo", "found")
     out = sig.select("doc_id", "n_shingles", "set_hi", "set_lo").join(
         label, ["set_hi", "set_lo"], "left")
+    if any_several:
+        # a row without words goes with the other rows of its document
+        whole = out.join(several, "doc_id").groupBy("doc_id").agg(F.min("found").alias("one"))
+        out = out.join(whole, "doc_id", "left").withColumn("found", F.coalesce("found", "one"))
     out = out.withColumn("component_id", F.coalesce("found", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id",
                       F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

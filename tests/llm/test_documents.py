@@ -4,6 +4,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -395,7 +396,7 @@ def test_co_training_learns_from_the_other_view():
 
     views, mix = quality.co_train((part(a, few), part(b, few)), y[:150], (part(a, pool), part(b, pool)))
     alone = quality.View(part(a, few), y[:150])
-    both = sum(m * v.logits(part(r, test)) for m, v, r in zip(mix, views, (a, b))) + mix[2]
+    both = sum(m * v.calibrated(part(r, test)) for m, v, r in zip(mix, views, (a, b))) + mix[2]
     accuracy = ((both > 0) == (y[1400:] > 0)).mean()
     assert accuracy >= ((alone.logits(part(a, test)) > 0) == (y[1400:] > 0)).mean()
     assert len(views[0].labels) > 120 and accuracy > 0.9
@@ -421,6 +422,69 @@ def test_shapes_are_of_whole_tokens():
     assert odd in junk and odd not in clean and end in ended and end not in clean
 
 
+def linked_by_all_pairs(rows, size=2, percent=80):
+    """component_id by doc_id, comparing every two texts of documents with an id."""
+    def shingles(text):
+        w = (text or "").lower().split()
+        return {tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+    sets = [(i, shingles(t)) for i, t in rows if i is not None]
+    of = {i: i for i, _ in sets}
+
+    def root(i):
+        while of[i] != i:
+            i = of[i]
+        return i
+
+    for k, (i, x) in enumerate(sets):
+        for j, y in sets[:k]:
+            if i == j or (x and y and 100 * len(x & y) >= percent * len(x | y)):
+                a, b = sorted((root(i), root(j)))
+                of[b] = a
+    return {i: root(i) for i in of}
+
+
+def components_of(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = {}
+    for r in neardup.duplicate_components(df, 2).collect():
+        out.setdefault(r["doc_id"], set()).add(r["component_id"])
+    return out
+
+
+def test_documents_with_several_texts_link_by_each(spark):
+    rows = [(1, "a b c d"), (2, "a b c d"), (2, "x y z w"), (3, "x y z w"), (4, "x y z w v"),
+            (5, None), (5, "q r s t"), (6, "q r s t"), (7, ""), (7, "x y z w"), (8, "lone text"),
+            (8, "lone text"), (8, None), (9, ""), (None, "lone text"), (None, "none other")]
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(60)]
+    for k in range(60):
+        words = list(base)
+        for i in rng.integers(0, 60, rng.integers(0, 5)):
+            words[i] = f"n{k}"
+        rows.append((100 + k % 40, " ".join(words)))
+    got = components_of(spark, rows)
+    want = linked_by_all_pairs(rows)
+    assert got.pop(None) == {8, None}
+    assert got == {i: {c} for i, c in want.items()}
+
+
+def test_short_hashes_that_collide_lose_no_link(spark, monkeypatch):
+    """Blocks compare sets by 10-bit hashes: many shingles collide, the components stay exact."""
+    monkeypatch.setattr(neardup, "SHORT", 10)
+    monkeypatch.setattr(neardup, "BLOCK", 20)
+    monkeypatch.setattr(neardup, "PIVOT_PAIRS", 5)
+    rng = np.random.default_rng(8)
+    base, rows = [f"w{i}" for i in range(150)], []
+    for k in range(90):
+        words = list(base)
+        for i in rng.choice(150, int(rng.integers(0, 22)), replace=False):
+            words[i] = f"n{k}x{i}"
+        rows.append((k, " ".join(words)))
+    got = components_of(spark, rows)
+    assert got == {i: {c} for i, c in linked_by_all_pairs(rows).items()}
+
+
 def bytes_of(rows):
     return [np.asarray(sorted(x), np.int32).tobytes() for x in rows]
 
@@ -472,3 +536,29 @@ def test_labels_without_a_document_use_up_no_bound(spark):
 
     got = toxicity.sampled_rows(docs, labels, "toxic", {1: 30, 0: 15}, features)
     assert got["label"].value_counts().to_dict() == {1: 20, 0: 15}
+
+
+class Spied:
+    """A counter that adds up what it encodes."""
+
+    def __init__(self, counter):
+        self.counter, self.read = counter, 0
+        self.space, self.place = counter.space, counter.place
+
+    def encode(self, texts):
+        self.read += sum(map(len, texts))
+        return self.counter.encode(texts)
+
+
+@pytest.mark.parametrize("text", [
+    "漢字文書" * 40_000, "漢字，文書。" * 25_000, "QUJDRA+/x9" * 15_000, "longword" * 20_000,
+    "a" * 70_000 + " " + "don't we'll 5's !'s x's" * 4_000, "word " * 30_000,
+    "x<|endoftext|>y, " * 9_000, "<|endoftext|>" * 9_000, "é́≠İ!" * 20_000, "!?#" * 40_000,
+    "a'" * 40_000, "1é" * 40_000, "ǅ。ǅ，" * 20_000, "'s't're'" * 15_000], ids=range(14))
+def test_huge_texts_are_read_at_most_thrice(definition, text):
+    counter = tokens.Counter(Path(definition("word_bpe_49k.json")).read_text())
+    want = len(counter.encode([text])[0].ids)
+    for chunk, overlap in ((4096, 64), (1000, 7)):
+        spied = Spied(counter)
+        assert tokens.count_huge(spied, text, chunk, overlap) == want
+        assert spied.read < 3 * len(text)
