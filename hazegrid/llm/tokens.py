@@ -2,16 +2,18 @@
 
 A huge document is cut into chunks that overlap. Each chunk is encoded with offsets, and
 two neighbours are spliced where both put a token boundary at one and the same place that
-is proven stable: white space lies on it, and the tokenizer's definition lets no token
-reach across white space, or else both encodings agree on a run of tokens around it. Where
-no such place lies in an overlap, that pair is encoded again with a wider overlap, up to
-the whole of both chunks.
+is proven stable. Where the tokenizer's definition splits texts into words first, such places
+follow from two neighbouring characters (white space, digits, a letter beside a sign), and an
+overlap is widened up to the next of them before anything is encoded. For other tokenizers both
+encodings must agree on a run of tokens; where they do not, that pair is encoded again with a
+wider overlap, up to the whole of both chunks.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -23,14 +25,20 @@ from hazegrid.llm.common import by_value, extended
 CHUNK, OVERLAP = 32_768, 256
 #: Equal tokens needed on either side of a splice that no white space proves.
 AGREEING = 16
-#: Distinct pieces whose counts a task remembers.
-_CACHED = 1 << 19
+#: Distinct pieces whose counts a task remembers, and the longest of them.
+_CACHED, _LONG = 1 << 19, 64
 
 #: Fixed value: a split pattern whose matches hold no white space, as published with the
 #: word-level vocabulary.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: White space that separates tokens for sure (a subset of what the tokenizer's \s matches).
 _SPACE = " \n\t\r"
+#: Letters and signs that normalisation maps to letters and signs, one by one.
+_LETTER, _SIGN = "A-Za-z\u4e00-\u9fa5", r"!-&(-/:-@\[-`{-~\u3001-\u3003\u3008-\u3011\uff01-\uff06\uff08-\uff0f\uff1a-\uff20"
+#: Places between two matches of ``WORD_SPLIT`` whatever lies around: beside white space and
+#: digits, and between a letter and a sign. A letter may follow an apostrophe in one match.
+_PLACE = re.compile(f"(?<=[{_SPACE}0-9])|(?=[{_SPACE}0-9])|(?<=[{_LETTER}])(?=[{_SIGN}'])"
+                    f"|(?<=[{_SIGN}])(?=[{_LETTER}])")
 
 
 def splits_at_space(definition: str) -> bool:
@@ -69,6 +77,7 @@ class Counter:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.space = splits_at_space(definition)
+        self.added = [a["content"] for a in json.loads(definition).get("added_tokens") or []]
         self.known: dict[str, int] = {}
 
     def encode(self, texts: list[str]) -> list:
@@ -88,12 +97,32 @@ class Counter:
             known.clear()
         pieces = [_pieces(t) for t in texts]
         new = list({p for ps in pieces for p in ps if p not in known})
+        long = {}
         for i in range(0, len(new), 10_000):
             part = new[i:i + 10_000]
             for p, e in zip(part, self.tokenizer.encode_batch_fast(
                     part, add_special_tokens=False), strict=True):
-                known[p] = len(e.ids)
-        return [sum(map(known.__getitem__, ps)) for ps in pieces]
+                (known if len(p) <= _LONG else long)[p] = len(e.ids)
+        if not long:
+            return [sum(map(known.__getitem__, ps)) for ps in pieces]
+        return [sum(known[p] if p in known else long[p] for p in ps) for ps in pieces]
+
+    def place(self, text: str, start: int) -> int:
+        """The first proven boundary of a text's tokens at or after a place; else its end.
+
+        No place inside a token that was added to the vocabulary counts.
+        """
+        while start < len(text):
+            m = _PLACE.search(text, start)
+            if not m:
+                break
+            p = m.start()
+            inside = [i + len(c) for c in self.added for i in
+                      [text.find(c, max(0, p - len(c) + 1), p + len(c) - 1)] if 0 <= i < p < i + len(c)]
+            if p and not inside:
+                return p
+            start = max(inside, default=p + 1)
+        return len(text)
 
 
 def _pieces(text: str) -> list[str]:
@@ -113,23 +142,16 @@ def _boundaries(encoding, at: int) -> tuple[np.ndarray, np.ndarray]:
     return spans[:, 0], spans[:, 1]
 
 
-def splice(text: str, left, left_at: int, right, right_at: int, space: bool
-           ) -> tuple[int, int] | None:
+def splice(left, left_at: int, right, right_at: int) -> tuple[int, int] | None:
     """(tokens of ``left`` to keep, first token of ``right`` to keep), or None.
 
-    The boundary nearest the middle of the overlap wins, farthest from both cut ends.
+    Both must agree on a run of tokens; the one nearest the middle of the overlap wins, farthest
+    from both cut ends.
     """
     (ls, le), (rs, re_) = _boundaries(left, left_at), _boundaries(right, right_at)
     end = int(le.max()) if len(le) else right_at
     middle = (right_at + end) / 2
     best = None
-    if space:
-        # white space inside the overlap: tokens on either side are cut apart there
-        inside = [p for p in range(right_at + 1, min(end, len(text))) if text[p] in _SPACE]
-        if inside:
-            p = min(inside, key=lambda q: abs(q - middle))
-            return int(np.searchsorted(le, p, "right")), int(np.searchsorted(rs, p, "left"))
-        return None
     pos = {(int(s), int(e)): j for j, (s, e) in enumerate(zip(rs, re_, strict=True))}
     run = 0
     runs = []
@@ -147,8 +169,35 @@ def splice(text: str, left, left_at: int, right, right_at: int, space: bool
     return (best[0], best[1]) if best else None
 
 
+def splice_at(place: int, left, left_at: int, right, right_at: int) -> tuple[int, int]:
+    """(tokens of ``left`` to keep, first token of ``right`` to keep) at a proven boundary."""
+    (_, ends), (starts, _) = _boundaries(left, left_at), _boundaries(right, right_at)
+    return int(np.searchsorted(ends, place, "right")), int(np.searchsorted(starts, place, "left"))
+
+
+def _count_words(counter: Counter, text: str, chunk: int, overlap: int) -> int:
+    """``count_huge`` where boundaries are known from the text: each is looked for once, so no
+    character is encoded more than twice and memory is a chunk, or a word if that is longer."""
+    total, skip, at = 0, 0, 0
+    place = counter.place(text, chunk)
+    current = counter.encode([text[:place + overlap]])[0]
+    while place < len(text):
+        start = max(at + 1, place - overlap)
+        following_place = counter.place(text, place + chunk)
+        following = counter.encode([text[start:following_place + overlap]])[0]
+        kept, first = splice_at(place, current, at, following, start)
+        total += kept - skip
+        skip, current, at, place = first, following, start, following_place
+    return total + len(current.ids) - skip
+
+
 def count_huge(counter: Counter, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
-    """Tokens of one huge text, chunk by chunk; memory is bounded by two chunks."""
+    """Tokens of one huge text, chunk by chunk.
+
+    Memory is bounded by two chunks wherever a stable place is found in them.
+    """
+    if counter.space:
+        return _count_words(counter, text, chunk, overlap)
     starts = chunk_starts(len(text), chunk, overlap)
     total, skip = 0, 0
     i, at = 0, starts[0]
@@ -156,12 +205,12 @@ def count_huge(counter: Counter, text: str, chunk: int = CHUNK, overlap: int = O
     while i + 1 < len(starts):
         nxt, wide = starts[i + 1], overlap
         following = counter.encode([text[nxt:nxt + chunk + overlap]])[0]
-        cut = splice(text, current, at, following, nxt, counter.space)
+        cut = splice(current, at, following, nxt)
         while cut is None and wide < chunk:
             # neither end is trusted: reach farther from both sides of the overlap
             wide = min(chunk, wide * 4)
             current_wide = counter.encode([text[at:nxt + wide + overlap]])[0]
-            cut = splice(text, current_wide, at, following, nxt, counter.space)
+            cut = splice(current_wide, at, following, nxt)
             current = current_wide
         if cut is None:
             # no stable place in a whole chunk: both chunks become one
