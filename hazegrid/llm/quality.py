@@ -2,8 +2,9 @@
 
 Both views learn from a bounded sample of labelled documents. Over a few rounds each view
 labels those of all unlabelled documents it is surest of, and the other view learns them
-too: scores and gradients are sums over tables of features. The views' scores are calibrated and combined on labelled documents that
-neither learnt from, and every document is scored from its whole text and metadata.
+too: scores and gradients are sums over tables of features. Each view is put on a scale of its
+own (Platt) and the scales are combined on labelled documents that neither learnt from. Features
+are made once, from whole texts and metadata, and written; every document is scored from them.
 """
 
 from __future__ import annotations
@@ -13,11 +14,13 @@ import re
 from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from hazegrid.llm.common import by_value, discard, extended, written
 from hazegrid.llm.linear import (SPACE, Rows, feature_id, fit_logistic, fit_tables, on_grid, sigmoid,
@@ -67,9 +70,9 @@ def content_features(text: str, shapes: Shapes) -> list[int]:
         words = Counter(tokens)
         forms = Counter(map(shapes.__getitem__, tokens))
         top = words.most_common(1)[0][1]
-        repeated = sum(a == b for a, b in zip(tokens, tokens[1:]))
+        repeated = sum(map(eq, tokens, tokens[1:]))
         threes = Counter(zip(tokens, tokens[1:], tokens[2:]))
-        again = sum(c for c in threes.values() if c > 1)
+        again = max(0, n - 2) - list(threes.values()).count(1)
         length = sum(map(len, tokens)) / n
         odd = n - sum(c for f, c in forms.items() if f.rstrip(".,;:!?") in ("a", "0", "a'a", "a-a"))
         ended = sum(c for f, c in forms.items() if f[-1] in ".!?")
@@ -119,6 +122,7 @@ class View:
 
     def __init__(self, rows: list, labels: np.ndarray):
         self.rows, self.labels = list(rows), list(labels)
+        self.scale = (1.0, 0.0)
         self.fit()
 
     def fit(self) -> None:
@@ -133,6 +137,10 @@ class View:
     def logits(self, rows: list) -> np.ndarray:
         return Rows(rows).logits(self.weights) + self.bias
 
+    def calibrated(self, rows: list) -> np.ndarray:
+        """Logits on the scale fitted to documents that the view did not learn from."""
+        return self.scale[0] * self.logits(rows) + self.scale[1]
+
 
 def _surest(p: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
     """Places of the surest good and bad documents, in proportion to how common they look."""
@@ -180,8 +188,13 @@ def _first_views(labelled: tuple[list, list], labels: np.ndarray) -> tuple[list[
 
 def _calibrated(views: list[View], labelled: tuple[list, list], labels: np.ndarray,
                 held: np.ndarray) -> np.ndarray:
-    z = np.stack([v.logits([rows[i] for i in held]) for v, rows in
-                  zip(views, labelled, strict=True)], axis=1) if len(held) else np.empty((0, 2))
+    """Sets each view's scale on the documents kept aside; returns the combination of the views."""
+    if not len(held):
+        return _combination(np.empty((0, 2)), labels[held])
+    for view, rows in zip(views, labelled, strict=True):
+        view.scale = _platt(view.logits([rows[i] for i in held]), labels[held])
+    z = np.stack([v.calibrated([rows[i] for i in held]) for v, rows in
+                  zip(views, labelled, strict=True)], axis=1)
     return _combination(z, labels[held])
 
 
@@ -320,6 +333,23 @@ def co_train_table(labelled: tuple[list, list], labels: np.ndarray, free: DataFr
     return views, _calibrated(views, labelled, labels, held)
 
 
+def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """(slope, intercept) of a logistic regression of the label on one view's logit."""
+    if not len(y) or y.min() == y.max():
+        return 1.0, 0.0
+    x = np.stack([np.clip(z, -30, 30), np.ones(len(z))], axis=1)
+    w = start = np.array([1.0, 0.0])
+    for _ in range(50):
+        p = sigmoid(x @ w)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-1 * np.eye(2),
+                               x.T @ (p - y) + 1e-1 * (w - start))
+        w = w - step
+        w[0] = max(w[0], 0.05)
+        if np.abs(step).max() < 1e-8:
+            break
+    return float(w[0]), float(w[1])
+
+
 def _combination(z: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Logistic regression of the label on both views' logits, none counted negatively."""
     if not len(y) or y.min() == y.max():
@@ -338,29 +368,41 @@ def _combination(z: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def _table(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, features, more, label, draw of every document with an id, written.
+#: Names of the columns that feature tables add to a document's own.
+_KEY, _FEATURES, _MORE = "__doc_id", "__features", "__more"
 
-    Of several labels of one document the largest counts; a doc_id with several rows counts once.
-    """
+
+def _described(docs: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """``carry`` columns, the id and both views' features of every row, written once."""
     def packed():
         views = both_views()
         return lambda *columns: [[np.asarray(x, np.int32).tobytes() for x in part]
                                  for part in views(*columns)]
 
-    key = F.col("doc_id").cast("long").alias("doc_id")
-    rows = docs.select(key, "text", *META).filter("doc_id is not null")
-    made = extended(rows, ["text", *META], {"features": "binary", "more": "binary"}, packed)
-    once = made.groupBy("doc_id").agg(F.min(F.struct("features", "more")).alias("x"))
-    known = labels.filter("doc_id is not null and quality is not null").groupBy(key).agg(
-        F.max("quality").cast("int").alias("label"))
+    hidden = {c: f"__{c}" for c in ("text", *META)}
+    rows = docs.select(*carry, F.col("doc_id").cast("long").alias(_KEY),
+                       *[F.col(c).alias(h) for c, h in hidden.items()])
+    return written(extended(rows, [*hidden.values()], {_FEATURES: "binary", _MORE: "binary"}, packed),
+                   "described")
+
+
+def _table(described: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, features, more, label, draw of every document with an id, written.
+
+    Of several labels of one document the largest counts; a doc_id with several rows counts once.
+    """
+    rows = described.select(F.col(_KEY).alias("doc_id"), F.col(_FEATURES).alias("features"),
+                            F.col(_MORE).alias("more")).filter("doc_id is not null")
+    once = rows.groupBy("doc_id").agg(F.min(F.struct("features", "more")).alias("x"))
+    known = labels.filter("doc_id is not null and quality is not null").groupBy(
+        F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("label"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(_DRAWS)).cast("int")
     return written(once.join(known, "doc_id", "left").select(
         "doc_id", "x.*", "label", draw.alias("draw")), "features")
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[list[View], np.ndarray]:
-    table = _table(docs, labels)
+def fit(described: DataFrame, labels: DataFrame) -> tuple[list[View], np.ndarray]:
+    table = _table(described, labels)
     try:
         return _fit(table)
     finally:
@@ -398,31 +440,30 @@ def score(docs: DataFrame, labels: DataFrame, carry: Sequence[str] = ("doc_id",)
     none, every row gets the observed rate (one half without labels). An empty table gives
     an empty result. Columns other than carry, text, source, lang and n_chars are not read.
     """
-    views, mix = fit(docs, labels)
+    described = _described(docs, carry)
+    views, mix = fit(described, labels)
     used = np.flatnonzero((np.abs(views[0].weights) > 1e-5) | (np.abs(views[1].weights) > 1e-5))
     model = docs.sparkSession.sparkContext.broadcast((
-        used.astype(np.int32), [v.weights[used] for v in views], [v.bias for v in views], mix))
+        used.astype(np.int32), [v.weights[used] for v in views], [v.bias for v in views],
+        [v.scale for v in views], mix))
+    columns = {"content_score": "double", "metadata_score": "double", "score": "double"}
+    schema = StructType([described.schema[c] for c in carry] + [
+        StructField(c, DoubleType()) for c in columns])
 
-    def make():
-        at, values, bias, both = model.value
+    def work(batches):
+        at, values, bias, scales, both = model.value
         weights = [np.zeros(SPACE), np.zeros(SPACE)]
         for w, v in zip(weights, values, strict=True):
             w[at] = v
-        views_of = both_views()
-
-        def scores(*columns: list) -> list:
-            z = [Rows(rows).logits(w) + b
-                 for rows, w, b in zip(views_of(*columns), weights, bias, strict=True)]
+        for batch in batches:
+            z = [a * (Rows.packed(batch.column(c)).logits(w) + b) + shift for c, w, b, (a, shift)
+                 in zip((_FEATURES, _MORE), weights, bias, scales, strict=True)]
             mixed = sum(m * np.clip(x, -12, 12) for m, x in zip(both, z)) + both[2]
-            return [sigmoid(x) for x in (*z, mixed)]
-
-        return scores
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in carry] + [pa.array(sigmoid(x)) for x in (*z, mixed)],
+                [*carry, *columns])
 
-    hidden = {c: f"__{c}" for c in ("text", *META)}
-    rows = docs.select(*carry, *[F.col(c).alias(h) for c, h in hidden.items()])
-    return extended(rows, [*hidden.values()], {
-        "content_score": "double", "metadata_score": "double", "score": "double"}, make
-    ).withColumn("kept", F.col("score") >= threshold)
+    return described.drop(_KEY).mapInArrow(work, schema).withColumn("kept", F.col("score") >= threshold)
 
 
 by_value(__name__)
