@@ -25,8 +25,8 @@ from hazegrid.llm.common import by_value, extended
 CHUNK, OVERLAP = 32_768, 256
 #: Equal tokens needed on either side of a splice that no white space proves.
 AGREEING = 16
-#: Distinct pieces whose counts a task remembers, and the longest of them.
-_CACHED, _LONG = 1 << 19, 64
+#: Distinct pieces whose counts a worker remembers, and the longest of them.
+_CACHED, _LONG = 1 << 20, 64
 
 #: Fixed value: a split pattern whose matches hold no white space, as published with the
 #: word-level vocabulary.
@@ -234,10 +234,14 @@ def count_tokens(docs: DataFrame, definition_path: str, limit: int = 2048, chunk
     """
     spark: SparkSession = docs.sparkSession
     with open(definition_path, encoding="utf-8") as f:
-        definition = spark.sparkContext.broadcast(f.read())
+        definition = f.read()
+    # a worker keeps a broadcast's value from task to task, so what it has counted stays known
+    shared = spark.sparkContext.broadcast({"definition": definition})
 
     def make():
-        counter = Counter(definition.value)
+        counter = shared.value.get("counter")
+        if counter is None:
+            counter = shared.value["counter"] = Counter(shared.value["definition"])
 
         def count(texts: list) -> tuple:
             small = [t for t in texts if len(t) <= chunk + overlap]
