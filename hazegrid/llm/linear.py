@@ -57,13 +57,14 @@ class Rows:
     def renumbered(self, place: np.ndarray) -> Rows:
         """The features that have a place, under its number."""
         out = Rows([])
-        ids, sizes = [], []
+        ids, n, sizes = np.empty(len(self.ids), np.int32), 0, []
         for _, _, part, starts in self._blocks():
             new = place[part]
             ends = np.concatenate([[0], np.cumsum(new >= 0)])
             sizes.append(np.diff(ends[starts]))
-            ids.append(new[new >= 0].astype(np.int32))
-        out.ids = np.concatenate([np.empty(0, np.int32), *ids])
+            ids[n:n + ends[-1]] = new[new >= 0]
+            n += int(ends[-1])
+        out.ids = ids[:n]
         out.starts = np.concatenate([[0], np.cumsum(np.concatenate([[], *sizes]))]).astype(np.int64)
         return out
 

@@ -12,7 +12,7 @@ import re
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,7 +88,7 @@ def in_training() -> Column:
 
 
 def sampled_rows(docs: DataFrame, labels: DataFrame, label: str, limits: dict[int, int],
-                 features, carry: Sequence[str] = ()) -> pd.DataFrame:
+                 features, carry: Sequence[str] = ()) -> pa.Table:
     """(doc_id, label, features, more) of at most ``limits[c]`` labelled documents per class.
 
     Labels first: of several labels of one document the largest counts, labels of documents
@@ -114,13 +114,10 @@ def sampled_rows(docs: DataFrame, labels: DataFrame, label: str, limits: dict[in
 
     # as bytes: a list of numbers would be Python objects on the driver
     made = extended(rows, ["text", *carry], {"features": "binary", "more": "binary"}, packed)
-    # a doc_id with several rows counts once
-    out = made.groupBy("doc_id", "label").agg(
+    # a doc_id with several rows counts once; as Arrow, the bytes are not copied on the driver
+    return made.groupBy("doc_id", "label").agg(
         F.min(F.struct("features", "more")).alias("x")).select(
-        "doc_id", "label", "x.*").orderBy("doc_id").toPandas()
-    for name in ("features", "more"):
-        out[name] = [np.frombuffer(x, np.int32) for x in out[name]]
-    return out
+        "doc_id", "label", "x.*").orderBy("doc_id").toArrow()
 
 
 def swaps(rows: Rows, terms: Sequence[str]) -> list[tuple[list[int], list[int], float]]:
@@ -152,7 +149,9 @@ def fit(docs: DataFrame, labels: DataFrame, terms: Sequence[str] = tuple(IDENTIT
 
     got = sampled_rows(docs, labels.filter(in_training()), "toxic", {1: MAX_TOXIC, 0: MAX_OTHER},
                        features)
-    rows, y = Rows(got.pop("features")), got["label"].to_numpy(float)
+    rows, y = Rows.packed(got["features"].combine_chunks()), got["label"].to_numpy().astype(float)
+    del got
+    pa.default_memory_pool().release_unused()
     return fit_logistic(rows, y, ridge=RIDGE, min_rows=5, pairs=swaps(rows, terms), rounds=40)
 
 

@@ -535,7 +535,7 @@ def test_labels_without_a_document_use_up_no_bound(spark):
         return lambda texts: ([[1]] * len(texts), [[]] * len(texts))
 
     got = toxicity.sampled_rows(docs, labels, "toxic", {1: 30, 0: 15}, features)
-    assert got["label"].value_counts().to_dict() == {1: 20, 0: 15}
+    assert got.to_pandas()["label"].value_counts().to_dict() == {1: 20, 0: 15}
 
 
 class Spied:
