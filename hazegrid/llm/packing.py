@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazegrid.llm.common import discard, hash_chunk, numbered, word_count, written
+from hazegrid.llm.common import hash_chunk, numbered, word_count, written
 
 BUCKETS = 16
 #: Padded tokens of a batch; a longer document is a batch of its own.
@@ -71,26 +71,28 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET,
     own. An empty table gives an empty result. Columns of ``docs`` named like added ones
     are replaced.
 
-    The driver gets the histogram of lengths (at most 256 bins per doubling).
+    Lengths are taken once and written with the rows, whose stored order tells equal rows
+    apart: no number of equal rows meets in one task. The driver gets the histogram of
+    lengths (at most 256 bins per doubling).
     """
     length = word_count(F.col("text")) if length is None else length
     added = ("n_tokens", "bucket", "padded_to", "batch", "slot")
-    rows = docs.select(length.alias("n_tokens"))
-    histogram = (rows.groupBy(length_bin(F.col("n_tokens")).alias("bin"))
+    stored = written(docs.withColumn("__n", length).drop(*added).withColumnRenamed(
+        "__n", "n_tokens").withColumn("__tie", F.monotonically_increasing_id()), "lengths")
+    histogram = (stored.groupBy(length_bin(F.col("n_tokens")).alias("bin"))
                  .agg(F.max("n_tokens").alias("top"), F.count(F.lit(1)).alias("n"),
                       F.sum("n_tokens").alias("tokens")).orderBy("bin").collect())
     total = sum(r["n"] for r in histogram)
     ends = optimal_boundaries(np.array([r["top"] for r in histogram], float),
                               np.array([r["n"] for r in histogram]),
                               np.array([r["tokens"] for r in histogram]), buckets)
-    out = docs.withColumn("__n", length).drop(*added).withColumnRenamed("__n", "n_tokens")
     bucket, padded = F.lit(0), F.lit(0)
     for i, end in reversed(list(enumerate(ends))):
         bucket = F.when(F.col("n_tokens") <= end, i).otherwise(bucket)
         padded = F.when(F.col("n_tokens") <= end, end).otherwise(padded)
-    out = out.withColumn("bucket", bucket).withColumn("padded_to", padded.cast("long"))
-    out = out.withColumn("__h", F.xxhash64("doc_id", "text"))
-    out = numbered(out, ["bucket"], ["__h", "doc_id"], "__at", hash_chunk(F.col("__h"), total))
+    out = stored.withColumn("bucket", bucket).withColumn("padded_to", padded.cast("long"))
+    out = out.withColumn("__h", F.xxhash64("doc_id", "__tie"))
+    out = numbered(out, ["bucket"], ["__h", "__tie"], "__at", hash_chunk(F.col("__h"), total))
     per = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest("padded_to", F.lit(1))))
     return (out.withColumn("batch", F.floor(F.col("__at") / per))
-            .withColumn("slot", F.col("__at") % per).drop("__h", "__at"))
+            .withColumn("slot", F.col("__at") % per).drop("__h", "__tie", "__at"))

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hazegrid.llm import mixing, neardup, packing, quality, rules, sharding, tokens, toxicity
+from hazegrid.llm import common, mixing, neardup, packing, quality, rules, sharding, tokens, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words string"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -210,6 +210,27 @@ def test_batches(docs, odd, spark):
     assert packing.pack(none(spark)).count() == 0
 
 
+def test_equal_rows_are_dealt_to_many_ranges(spark, monkeypatch):
+    """A third of all rows equal in every column: no range that a task numbers holds them all."""
+    hot = spark.range(6_000).select(F.lit(None).cast("long").alias("doc_id"),
+                                    F.lit(None).cast("string").alias("text"))
+    others = spark.range(12_000).select("id", F.concat(F.lit("word "), F.col("id")).alias("text"))
+    seen = []
+
+    def few_rows(key, rows):
+        return common.hash_chunk(key, rows, 500)
+
+    def watched(df, group, order, slot, chunk):
+        seen.append(df.groupBy(*group, chunk.alias("c")).count().agg(F.max("count")).first()[0])
+        return common.numbered(df, group, order, slot, chunk)
+
+    monkeypatch.setattr(packing, "hash_chunk", few_rows)
+    monkeypatch.setattr(packing, "numbered", watched)
+    out = packing.pack(hot.union(others), budget=512).toPandas()
+    assert seen[0] < 1_000 and len(out) == 18_000
+    assert not out.duplicated(["bucket", "batch", "slot"]).any()
+
+
 def test_bins_are_exact_where_short_and_fine_where_long(spark):
     n = [0, 1, 255, 256, 257, 511, 512, 513, 1 << 20, (1 << 20) + 1, 123_456_789]
     df = spark.createDataFrame([(x,) for x in n], "n long")
