@@ -41,7 +41,7 @@ def op5_temperature_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """A mixture of one and a half times the corpus's tokens, with evener sources."""
     mixed = mixing.mix(read(spark, folder, "documents"), budget=mixing.BUDGET,
                        entropy=mixing.ENTROPY, passes=mixing.PASSES)
-    return mixed.select("doc_id", "source", "n_tokens", "epoch", "place")
+    return mixed.select("doc_id", "source", "n_tokens", "epoch", "block", "place")
 
 
 def op6_counterfactual_toxicity(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,7 +4,9 @@ A source's weight is its share of the tokens raised to an exponent between 0 (al
 alike) and 1 (as they come). The exponent is bisected on the table of sources; documents
 are then taken in whole passes ("epochs", each a permutation of its own) and one partial
 pass per source. The place where the partial pass ends is found on a histogram of the
-permutation, so documents themselves are neither sorted nor shuffled.
+permutation, so documents themselves are neither sorted nor shuffled. The budget is cut
+into blocks: a row's place in its source's passes, as a share of the source's target, is its
+place in the mixture, so every block holds the sources by their weights.
 """
 
 from __future__ import annotations
@@ -22,6 +24,10 @@ DIGITS = 6
 _AT_ONCE = 5
 #: Hexadecimal digits of the permutation that make a histogram bin: 4096 bins a source.
 _BIN = 3
+#: Tokens of a block of the mixture.
+BLOCK = 65_536
+#: Hexadecimal digits of the permutation that place a row in its pass.
+_PLACE = 12
 
 
 def permutation(seed: int, epoch: Column, row: Column) -> Column:
@@ -56,7 +62,8 @@ def exponent(sources: DataFrame, budget: int | None, entropy: float | None,
              passes: float | None) -> float:
     """The exponent nearest 1 that reaches the target entropy, raised if need be until no
     source is passed over more than ``passes`` times. With a limit alone it is the smallest
-    exponent within the limit, with neither it is 1.
+    exponent within the limit, with neither it is 1. Where not even exponent 1 is within the
+    limit, as with a budget of more than ``passes`` times the corpus, it is 1.
 
     ``sources`` has (share, tokens) of sources with tokens. Entropy is a share of the
     largest possible. ``budget`` None stands for the smallest budget that takes every
@@ -116,17 +123,20 @@ def source_plan(tokens: DataFrame, budget: int | float | None, entropy: float |
 
 
 def mix(docs: DataFrame, budget: int | float | None = None, entropy: float | None = None,
-        passes: float | None = None, seed: int = 1, length: Column | None = None) -> DataFrame:
-    """Rows of ``docs`` once per pass that takes them, with ``epoch``, ``place`` and
-    ``n_tokens``.
+        passes: float | None = None, seed: int = 1, length: Column | None = None,
+        block: int = BLOCK) -> DataFrame:
+    """Rows of ``docs`` once per pass that takes them, with ``epoch``, ``block``, ``place``
+    and ``n_tokens``.
 
-    Ordering by (source, epoch, place) is the order to read them in. ``length`` is the token
+    Ordering by (block, place) is the order to read them in: blocks of about ``block`` tokens,
+    numbered from 0, hold each source's weight of their tokens up to what a random order of its
+    documents leaves, and a source's passes follow each other. ``length`` is the token
     count of a row, by default its words. The partial pass of a source takes documents in
     order while fewer than ``rest`` tokens lie ahead of them, so each source ends within one
     document of its target. Documents without tokens cost nothing and are in every whole
     pass, at least one. A null source is a source of its own; equal rows go together. An
-    empty table gives an empty result. Columns of ``docs`` named like the three added ones
-    are replaced.
+    empty table gives an empty result. Rows without tokens are spread over all blocks. Columns
+    of ``docs`` named like the four added ones are replaced.
     """
     length = word_count(F.col("text")) if length is None else length
     keyed = written(docs.select("source", length.alias("n_tokens"), _row_key(docs).alias("row")),
@@ -150,13 +160,16 @@ def mix(docs: DataFrame, budget: int | float | None = None, entropy: float | Non
     before = Window.partitionBy("s").orderBy("u").rowsBetween(Window.unboundedPreceding, -1)
     cut = (edge.withColumn("ahead", F.col("ahead") + F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
            .filter("ahead < rest").groupBy("s").agg(F.max("u").alias("cut")))
-    ends = written(plan.select("source", "epochs").join(
+    spend = plan.agg(F.sum("target")).first()[0] or 0
+    blocks = float(max(1, math.ceil(spend / block)))
+    ends = written(plan.select("source", "epochs", "tokens", "target").join(
         cut.withColumnRenamed("s", "cs"), F.col("source").eqNullSafe(F.col("cs")), "left")
         .select(F.col("source").alias("__s"), F.col("epochs").cast("int").alias("__epochs"),
+                F.col("tokens").alias("__tokens"), F.col("target").alias("__target"),
                 F.col("cut").alias("__cut")), "ends")
     discard(keyed, plan)
 
-    rows = docs.drop("epoch", "place", "n_tokens")
+    rows = docs.drop("epoch", "block", "place", "n_tokens")
     rows = rows.withColumn("n_tokens", length).withColumn("__row", _row_key(docs))
     rows = rows.join(ends, F.col("source").eqNullSafe(F.col("__s")), "left")
     taken = F.when(F.col("__epochs").isNull(), 1).when(
@@ -166,7 +179,12 @@ def mix(docs: DataFrame, budget: int | float | None = None, entropy: float | Non
     out = rows.withColumn("__taken", taken).filter("__taken > 0")
     out = out.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("__taken") - 1)))
     out = out.withColumn("place", permutation(seed, F.col("epoch"), F.col("__row")))
-    return out.drop("__row", "__s", "__epochs", "__cut", "__taken")
+    here = F.conv(F.substring("place", 1, _PLACE), 16, 10).cast("double") / F.lit(16.0 ** _PLACE)
+    through = F.when((F.col("n_tokens") > 0) & (F.col("__target") > 0), (
+        F.col("epoch") + here) * F.col("__tokens") / F.col("__target")).otherwise(here)
+    out = out.withColumn("block", F.least(
+        F.floor(through * F.lit(blocks)), F.lit(int(blocks) - 1)).cast("long"))
+    return out.drop("__row", "__s", "__epochs", "__cut", "__tokens", "__target", "__taken")
 
 
 #: Share of the corpus's tokens, of the largest possible entropy, and most passes over one
@@ -220,7 +238,7 @@ def oracle(budget: float = BUDGET, entropy: float = ENTROPY, passes: float = PAS
         from shares, chosen),
     passed as (select *, target // tokens as epochs, target - target // tokens * tokens as rest
                from plan),
-    placed as (select k.*, p.epochs, p.rest,
+    placed as (select k.*, p.epochs, p.rest, p.tokens, p.target,
         sum(n_tokens) over (partition by k.source
           order by md5('{seed}:' || coalesce(p.epochs, 0) || ':' || k.row)
           range between unbounded preceding and current row)
@@ -229,7 +247,14 @@ def oracle(budget: float = BUDGET, entropy: float = ENTROPY, passes: float = PAS
         from keyed k left join passed p on k.source is not distinct from p.source),
     counted as (select *, case when epochs is null then 1 when n_tokens = 0 then greatest(epochs, 1)
         when ahead < rest then epochs + 1 else epochs end as taken from placed),
-    passes as (select *, unnest(generate_series(0, taken - 1)) as epoch from counted where taken > 0)
-    select doc_id, source, n_tokens, epoch::integer as epoch,
-           md5('{seed}:' || epoch || ':' || row) as place from passes
+    passes as (select *, unnest(generate_series(0, taken - 1)) as epoch from counted where taken > 0),
+    ordered as (select *, md5('{seed}:' || epoch || ':' || row) as place from passes),
+    located as (select *, ('0x' || substr(place, 1, {_PLACE}))::bigint::double / {16.0 ** _PLACE!r}
+                as here from ordered),
+    cuts as (select greatest(1, ceil(coalesce(sum(target), 0)::double / {BLOCK})) as blocks from plan)
+    select doc_id, source, n_tokens, epoch::integer as epoch, place,
+           least(floor(case when n_tokens > 0 and target > 0 then
+                 (epoch::double + here) * tokens::double / target::double else here end * blocks),
+                 blocks - 1)::bigint as block
+    from located, cuts
     """

@@ -266,6 +266,27 @@ def test_mixture_meets_targets(docs, odd, spark):
     assert mixing.mix(none(spark)).count() == 0
 
 
+def test_blocks_hold_sources_by_weight(many):
+    """Every block but the last has about its size, and each source its weight of the block."""
+    df = many[0].select("doc_id", "source", "text")
+    out = mixing.mix(df, budget=1.5, entropy=0.9, block=100_000).toPandas()
+    weight = out.groupby("source")["n_tokens"].sum() / out["n_tokens"].sum()
+    blocks = out.pivot_table(index="block", columns="source", values="n_tokens", aggfunc="sum", fill_value=0)
+    assert len(blocks) > 10 and list(blocks.index) == list(range(len(blocks)))
+    size = blocks.sum(axis=1)
+    assert (abs(size.iloc[:-1] - 100_000) < 40_000).all()
+    # what a random order leaves: six deviations, and the longest document
+    per = out.groupby("source")["n_tokens"]
+    left = 6 * (per.apply(lambda n: (n ** 2).sum()) / len(blocks)) ** 0.5 + per.max()
+    assert (abs(blocks.iloc[:-1] - 100_000 * weight).max() < left).all()
+    order = out.sort_values(["block", "place"])["source"].tolist()
+    changes = sum(a != b for a, b in zip(order, order[1:], strict=False))
+    assert changes > 0.5 * len(order) * (1 - (weight ** 2).sum())
+    passes = out.groupby(["source", "epoch"])["block"].agg(["min", "max"])
+    for _, r in passes.groupby(level=0):
+        assert (r["min"].iloc[1:].to_numpy() >= r["max"].iloc[:-1].to_numpy()).all()
+
+
 def test_exponent_is_the_bisected_one(spark):
     tokens_ = np.array([9000, 500, 300, 100, 100])
     share = tokens_ / tokens_.sum()
