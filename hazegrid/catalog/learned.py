@@ -16,7 +16,7 @@ from hazegrid.operators.metrics import measure
 from hazegrid.schemas import (BACKGROUND_ROWS, EXPLAIN_LEADS, EXPLAIN_ROWS, HORIZONS, MODEL_INPUTS,
                               PREDICTION_RANGE)
 from hazegrid.session import new_folder
-from hazegrid.sources import registry, tables
+from hazegrid.sources import registry, snapshot, tables
 
 
 #: Fewest table rows the registered training accepts; the smallest given tables hold fewer than
@@ -283,3 +283,30 @@ def ridge_attribution(t):
             KEY, "ts", F.lit(day).alias("block"), F.lit(lead).alias("hours_ahead"),
             F.size("top").alias("shown"), F.abs(F.round("gap", 6)).alias("gap")))
     return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def explanation_document(t):
+    """What drives each served model, one document per station, written and read back.
+
+    ``gap`` is base plus all contributions less the model's own prediction.
+    """
+    path, latest = new_folder(t.spark, "explained"), forecast.latest_complete(t.features)
+    entries = []
+    for day, lead in EXPLAIN_LEADS.items():
+        delta = SERVED[day] == "delta"
+        model, _, _ = _ridge(t, day, delta)
+        rows = _at_lead(t, last_rows(t.complete, EXPLAIN_ROWS), lead)
+        background = _at_lead(t, last_rows(t.complete, BACKGROUND_ROWS), lead)
+        weights, base = explain.linear_model_parts(model, background, MODEL_INPUTS)
+        entries.append(explain.horizon(
+            explain.linear_attribution(rows, MODEL_INPUTS, weights), latest,
+            model.transform(_at_lead(t, latest, lead)), F.lit(base), day=day,
+            model="Ridge (delta)" if delta else "Ridge", hours_ahead=lead))
+    snapshot.write_snapshot(explain.explanation_documents(latest, entries), path)
+    each = snapshot.read_explanations(t.spark, path).select(
+        KEY, "explained_from", "current_aqi", F.inline("horizons"))
+    return each.select(
+        KEY, "explained_from", "current_aqi", "day", "model", "hours_ahead",
+        F.size("global_importance").alias("important"),
+        F.size("current_explanation").alias("shown"), F.abs(F.round("gap", 6)).alias("gap"))

@@ -481,6 +481,8 @@ def oracle_sql() -> dict[str, str]:
     value = f"case when event_type <> 'error' then {value}::double end"
     noisy = ("hour_sin", "hour_cos", "month_sin", "month_cos")
 
+    weather_sums = ", ".join(f"sum({c}::double) as {c}" for c in WEATHER)
+
     by_lead = {f"{c}_x_hours": f"{c} * hours_ahead" for c in LEAD_INTERACTIONS}
     by_lead |= {"sqrt_hours_ahead": "sqrt(hours_ahead)"}
     inputs = ", ".join(f"sum(floor(({by_lead.get(c, c)}) * 1000 + 0.5::double))::bigint as in_{c}"
@@ -838,9 +840,34 @@ def oracle_sql() -> dict[str, str]:
             "select station_id, ts, b.block::int as block, (b.block * 24 - 12)::int as hours_ahead, "
             f"{TOP_DRIVERS}::int as shown, 0.0::double as gap from latest, "
             "(select unnest([1, 2, 3]) as block) b", extra=forecast),
-        "model_features": (
-            "select (row_number() over () - 1)::int as position, feature from "
-            f"(select unnest([{', '.join(repr(c) for c in FEATURES)}]) as feature)"),
+        "model_features": pipeline("select unnest([" + ", ".join(
+            f"{{'position': {i}::int, 'feature': '{name}', 'present': count({c})}}"
+            for i, (name, c) in enumerate([*zip(FEATURES, FEATURES), ("spare_reading", "aqi")]))
+            + "], recursive := true) from features"),
+        "normalised_names": pipeline(
+            f"select station_id, count(ts) as rows, {weather_sums} from weather_raw group by 1",
+            "weather_raw"),
+        "optional_columns": pipeline(
+            f"select feed, {len(SENSORS) + 3}::int as columns, station_id, count(*) as rows, "
+            f"{weather_sums} from merged, (select unnest(['with', 'without']) as feed) "
+            "group by feed, station_id", "merged"),
+        "explanation_document": pipeline(
+            "select station_id, ts as explained_from, aqi::bigint as current_aqi, b.day::int as day, "
+            "model, (b.day * 24 - 12)::int as hours_ahead, "
+            f"{TOP_DRIVERS}::int as important, {TOP_DRIVERS}::int as shown, 0.0::double as gap "
+            "from latest, (values (1, 'Ridge (delta)'), (2, 'Ridge'), (3, 'Ridge')) b(day, model)",
+            extra=forecast),
+        "explanation_contents": pipeline(
+            "select station_id, l.ts as explained_from, l.aqi::bigint as current_aqi, list, "
+            "rank::int as rank, feature, case feature "
+            + " ".join(f"when '{k}' then '{v}'" for k, v in LABELS.items())
+            + " else replace(feature, '_', ' ') end as label, round(amount, 3) as amount from "
+            "(select *, row_number() over (partition by station_id, list order by abs(amount) desc, "
+            "feature) as rank from (select station_id, 'global_importance' as list, feature, "
+            "avg(abs(contribution)) as amount from parts group by 1, 3 union all "
+            "select station_id, 'current_explanation', feature, contribution from parts "
+            "join latest using (station_id, ts))) join latest l using (station_id) "
+            f"where rank <= {TOP_DRIVERS}", extra=_attribution() | {"latest": forecast["latest"]}),
         "stream_two_sinks": pipeline(
             "select station_id, count(*) as local_rows, sum(aqi) as local_aqi, "
             "count(*) as served_rows, sum(aqi) as served_aqi from features group by 1"),

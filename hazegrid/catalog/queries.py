@@ -18,7 +18,7 @@ from hazegrid.operators.grid import hourly_grid, interpolate
 from hazegrid.plans import features as plan
 from hazegrid.schemas import (EXPLAIN_ROWS, FEATURES, HORIZONS, LAGS,
                               MODEL_INPUTS, POLLUTANT_PAYLOAD, POLLUTANT_WINDOWS, POLLUTANTS, ROLLING, SENSORS,
-                              TRENDS, WEATHER_MEANS, WEATHER_PAYLOAD)
+                              TRENDS, WEATHER, WEATHER_MEANS, WEATHER_PAYLOAD)
 from hazegrid.session import written
 from hazegrid.sources import feeds, fixtures, registry, snapshot, tables
 from hazegrid.sources.fixtures import ARRIVAL
@@ -285,10 +285,41 @@ def weekly_manifest(t: Tables) -> DataFrame:
 
 @query
 def model_features(t):
-    """Inputs picked by type from the stored table's schema, in its order."""
-    names = tables.numeric_features(t.features)
-    return t.spark.createDataFrame([(i, n) for i, n in enumerate(names)],
-                                   "position int, feature string")
+    """Inputs picked by type from a stored table's own schema, and how many rows hold each.
+
+    The table has a text column, a column of a later value and a number of its own besides.
+    """
+    from hazegrid.session import new_folder
+    path = new_folder(t.spark, "wider")
+    tables.write_version(t.features.withColumns({
+        "note": F.lit("seen"), "target_24h": F.col("aqi"), "spare reading": F.col("aqi") / 2}), path, 1)
+    stored = t.spark.read.parquet(tables.version_path(path, 1))
+    names = tables.numeric_features(stored)
+    counts = stored.agg(*[F.count(c).alias(c) for c in names])
+    return counts.select(F.inline(F.array(*[F.struct(
+        F.lit(i).alias("position"), F.lit(c).alias("feature"), F.col(c).alias("present"))
+        for i, c in enumerate(names)])))
+
+
+@query
+def normalised_names(t):
+    """A feed whose columns have capitals, spaces and dashes, stored under plain names."""
+    odd = t.weather.select(F.col(KEY).alias("Station-ID"), F.col("ts").alias("TS"), *[
+        F.col(c).alias(c.replace("_", " ").title()) for c in WEATHER])
+    stored = written(tables.storable(odd), "named")
+    return stored.groupBy(KEY).agg(F.count("ts").alias("rows"), *[F.sum(c).alias(c) for c in WEATHER])
+
+
+@query
+def optional_columns(t):
+    """Feeds merged with a weather feed that has the optional column and one that lacks it."""
+    parts = []
+    for feed, weather in (("with", t.weather), ("without", feeds.drop_optional(t.weather))):
+        merged = feeds.merge_sources(t.pollutants, weather, ARRIVAL)
+        parts.append(merged.groupBy(KEY).agg(
+            F.count(F.lit(1)).alias("rows"), *[F.sum(c).alias(c) for c in WEATHER]).select(
+            F.lit(feed).alias("feed"), F.lit(len(merged.columns)).alias("columns"), "*"))
+    return parts[0].unionByName(parts[1])
 
 
 @query
@@ -874,4 +905,20 @@ def top_drivers(t):
     return rounded(out, 3, "mean_abs")
 
 
-
+@query
+def explanation_contents(t):
+    """Both lists of the explanation documents of a linear rule, written and read back."""
+    from hazegrid.session import new_folder
+    path, latest = new_folder(t.spark, "explained"), forecast.latest_complete(t.features)
+    parts = written(_attributed(t), "parts")
+    predicted = parts.groupBy(KEY, "ts").agg(F.sum("contribution").alias("prediction"))
+    entry = explain.horizon(parts, latest, predicted, F.lit(0.0), day=1, model="Linear rule",
+                            hours_ahead=12)
+    snapshot.write_snapshot(explain.explanation_documents(latest, [entry]), path)
+    each = snapshot.read_explanations(t.spark, path).select(
+        KEY, "explained_from", "current_aqi", F.inline("horizons"))
+    lists = [each.select(KEY, "explained_from", "current_aqi", F.lit(name).alias("list"),
+                         F.inline(name)).withColumnRenamed(amount, "amount")
+             for name, amount in (("global_importance", "mean_abs"),
+                                  ("current_explanation", "contribution"))]
+    return rounded(lists[0].unionByName(lists[1]), 3, "amount")

@@ -131,6 +131,24 @@ WEATHER_PAYLOAD = T.StructType([
         + [T.StructField(v, T.ArrayType(T.DoubleType())) for v in WEATHER_VARIABLES])),
 ])
 
+#: What drives the forecast: one document per station, one entry per explained lead time.
+EXPLANATION_SCHEMA = T.StructType([
+    T.StructField("station_id", T.LongType()),
+    T.StructField("explained_from", T.TimestampType()),
+    T.StructField("current_aqi", T.LongType()),
+    T.StructField("horizons", T.ArrayType(T.StructType([
+        T.StructField("day", T.IntegerType()),
+        T.StructField("model", T.StringType()),
+        T.StructField("hours_ahead", T.IntegerType()),
+        *_doubles(["base", "prediction", "gap"]),
+        *[T.StructField(name, T.ArrayType(T.StructType([
+            T.StructField("rank", T.IntegerType()), T.StructField("feature", T.StringType()),
+            T.StructField("label", T.StringType()), T.StructField(amount, T.DoubleType())])))
+          for name, amount in (("global_importance", "mean_abs"),
+                               ("current_explanation", "contribution"))],
+    ]))),
+])
+
 SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("station_id", T.LongType()),
     T.StructField("predicted_from", T.TimestampType()),

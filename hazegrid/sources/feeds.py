@@ -22,6 +22,15 @@ def clean_sentinel(df: DataFrame, columns=SENSORS, sentinel: float = SENTINEL) -
     return df.withColumns({c: clean(c, sentinel) for c in columns if c in df.columns})
 
 
+#: Columns that only some weather feeds have and no later step reads.
+OPTIONAL = ("boundary_layer_height",)
+
+
+def drop_optional(df: DataFrame, columns=OPTIONAL) -> DataFrame:
+    """``df`` without its optional columns; a column it lacks is no error."""
+    return df.drop(*columns)
+
+
 def drop_sentinel(df: DataFrame, columns=("pm10", "no2", "o3"),
                   sentinel: float = SENTINEL) -> DataFrame:
     """Drop rows where any of the columns holds the marker (a missing value stays)."""
@@ -103,7 +112,7 @@ def merge_sources(pollutants: DataFrame, weather: DataFrame, arrival=("arrival",
     the partitioning of that reduction: each feed is shuffled once.
     """
     left = hourly_readings(pollutants, arrival)
-    right = hourly_readings(weather, arrival)
+    right = hourly_readings(drop_optional(weather), arrival)
     if "city" not in left.columns:
         left = left.withColumn("city", F.lit(None).cast("string"))
     return (left.select(*ROW_KEY, "city", *POLLUTANTS)

@@ -10,7 +10,8 @@ FAST = ["flatten_readings", "flatten_weather", "upsert_keep_last", "merge_source
         "coverage", "gap_report", "aqi_hourly", "interpolated", "feature_table", "context_slice",
         "describe", "dominant_by_month", "corr_matrix", "training_frame", "metrics_persistence",
         "compare_models", "forecast_persistence", "daily_summary", "top_drivers",
-        "extended_features", "sparkline", "snapshot_readback", "stream_join"]
+        "extended_features", "sparkline", "snapshot_readback", "stream_join", "model_features",
+        "normalised_names", "optional_columns", "explanation_contents"]
 
 
 @pytest.fixture(scope="module")
