@@ -85,17 +85,18 @@ def test_duplicates(spark):
 
 def test_explanation_documents(spark):
     """Lists are ranked by size, entries by day; a station nothing explains keeps its document."""
+    start, hour = START.to_pydatetime(), pd.Timedelta(hours=1).to_pytimedelta()
     parts = spark.createDataFrame(
-        [(1, START + pd.Timedelta(hours=h), f, c) for h, f, c in
+        [(1, start + h * hour, f, c) for h, f, c in
          ((0, "aqi", 5.0), (0, "pm10", -9.0), (1, "aqi", 3.0), (1, "pm10", -1.0))],
         "station_id long, ts timestamp, feature string, contribution double")
-    latest = spark.createDataFrame([(1, START + pd.Timedelta(hours=1), 104.6), (2, START, 7.0)],
+    latest = spark.createDataFrame([(1, start + hour, 104.6), (2, start, 7.0)],
                                    "station_id long, ts timestamp, aqi double")
     predicted = latest.select("station_id", "ts", F.lit(12.0).alias("prediction"))
     entries = [explain.horizon(parts, latest, predicted, F.lit(10.0), day=d, model="m",
                                hours_ahead=24 * d - 12) for d in (3, 1)]
     one, two = explain.explanation_documents(latest, entries).orderBy("station_id").collect()
-    assert (one.current_aqi, one.explained_from) == (105, START + pd.Timedelta(hours=1))
+    assert (one.current_aqi, one.explained_from) == (105, start + hour)
     assert [(h.day, h.hours_ahead, h.gap) for h in one.horizons] == [(1, 12, 0.0), (3, 60, 0.0)]
     first = one.horizons[0]
     assert [(r.rank, r.feature, r.mean_abs) for r in first.global_importance] == [
