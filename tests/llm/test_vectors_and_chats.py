@@ -124,6 +124,17 @@ def test_collapse_of_odd_rows(spark, monkeypatch):
     assert chat.collapse_and_render(df.filter("false")).count() == 0
 
 
+def test_hot_conversation_is_cut(spark, monkeypatch):
+    """One conversation without turn numbers, one turn number and one row repeated many times."""
+    monkeypatch.setattr(chat, "RANGE_ROWS", 50)
+    rows = [(1, None, "u", f"t{i:04d}") for i in range(400)] + [(2, 7, "u", "same")] * 400
+    rows += [(3, 7, "u", "same")] * 399 + [(None, None, "b", f"x{i}") for i in range(200)]
+    df = spark.createDataFrame([(*r, "x") for r in rows], C)
+    assert rendered(chat.collapse_and_render(df)) == collapse(rows)
+    largest = chat.in_ranges(df).groupBy("part").count().agg(F.max("count")).first()[0]
+    assert largest <= 4 * chat.RANGE_ROWS
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7), (200, 3), (300, 299)]
     df = spark.createDataFrame(edges, "a long, b long")
