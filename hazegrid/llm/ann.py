@@ -1,10 +1,14 @@
 """Inner-product search by randomly rotated one-bit codes with error bounds and reranking.
 
-A vector x is stored as c + |x - c| o with c the mean of all vectors and o a unit vector; o
-is rotated at random and only its signs are kept, packed, with two numbers to correct the
-estimate. A query estimates <q, o> from the bits alone, with a bound on the error, and
-computes true inner products only for vectors whose upper bound reaches the best lower
-bounds seen so far.
+Vectors lie in lists around centroids. A vector x is stored as c + |x - c| o with c its list's
+centroid and o a unit vector; o is rotated at random and only its signs are kept, packed, with
+two numbers to correct the estimate. A query estimates <q, o> from the bits alone, with a bound
+on the error.
+
+A query first scores the best estimates of a few lists; the worst of these scores is a floor
+under its result. Lists whose best conceivable product, <q, c> + |q| radius, is below the floor
+are skipped; in the others only vectors whose upper bound reaches the floor are scored. Codes
+meet queries; vectors are joined to what the codes let through.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazegrid.llm.common import by_value, written
+from hazegrid.llm.common import by_value, discard, written
 
 #: Bits of a code; vectors are padded with zeros to this many dimensions before rotation.
 BITS = 256
@@ -24,8 +28,12 @@ BITS = 256
 #: per side, before the 20 best are compared.
 WIDTH = 3.0
 SEED = 77
-#: Queries and vectors that meet in one task.
+#: Queries that are compared at a time, and vectors of a list that one task holds.
 QUERY_BLOCK, VECTOR_BLOCK = 512, 16_384
+#: Most lists, vectors the centroids are fitted on (the first in order of a hash), and rounds.
+MOST_LISTS, SAMPLE, ROUNDS = 4_096, 65_536, 8
+#: A query's first lists hold this many times the wanted number of vectors.
+FIRST_LISTS = 16
 
 
 def usable(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -44,26 +52,52 @@ def rotation(dimensions: int, bits: int) -> np.ndarray:
     return (q * np.sign(np.diag(r)))[:dimensions]
 
 
-def encode(vectors: DataFrame, centre: list[float], bits: int) -> DataFrame:
-    """(id, v, code, norm, fit): packed signs, |x - c| and <signs / sqrt(bits), o>."""
-    c = np.array(centre)
+def centroids(vectors: DataFrame, n: int, d: int) -> np.ndarray:
+    """Centres of some sqrt(n) lists, by k-means on at most ``SAMPLE`` vectors.
+
+    Lists are bounded so that all centres together have at most two million numbers. The
+    sample decides how well lists are pruned, never which vectors are found.
+    """
+    lists = int(max(1, min(MOST_LISTS, n ** 0.5, 2 ** 21 // d)))
+    sample = vectors.select("id", "v").orderBy(F.xxhash64("id", "v")).limit(min(SAMPLE, 64 * lists))
+    x = np.stack([np.array(r["v"]) for r in sample.collect()])
+    rng = np.random.default_rng(SEED)
+    centres = x[np.sort(rng.choice(len(x), min(lists, len(x)), replace=False))]
+    for _ in range(ROUNDS):
+        near = nearest_centre(x, centres)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, near, x)
+        held = np.bincount(near, minlength=len(centres))
+        centres = np.where(held[:, None] > 0, sums / np.maximum(held, 1)[:, None], centres)
+    return centres
+
+
+def nearest_centre(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    half = (centres ** 2).sum(axis=1) / 2
+    return np.concatenate([np.argmax(x[i:i + 2048] @ centres.T - half, axis=1)
+                           for i in range(0, len(x), 2048)])
+
+
+def encode(vectors: DataFrame, centres: np.ndarray, bits: int) -> DataFrame:
+    """(row, id, v, list, code, norm, fit): packed signs, |x - c| and <signs / sqrt(bits), o>."""
 
     def codes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        turn = rotation(len(c), bits)
+        turn = rotation(centres.shape[1], bits)
         for frame in frames:
             if not len(frame):
                 continue
             x = np.stack(frame["v"].to_numpy()).astype(float)
-            rest = x - c
+            of = nearest_centre(x, centres)
+            rest = x - centres[of]
             norm = np.linalg.norm(rest, axis=1)
             o = (rest / np.where(norm > 0, norm, 1.0)[:, None]) @ turn
             yield pd.DataFrame({
-                "id": frame["id"].to_numpy(), "v": list(x),
-                "code": [r.tobytes() for r in np.packbits(o > 0, axis=1)],
+                "row": frame["row"].to_numpy(), "id": frame["id"].to_numpy(), "v": list(x),
+                "list": of.astype(np.int32), "code": [r.tobytes() for r in np.packbits(o > 0, axis=1)],
                 "norm": norm, "fit": np.abs(o).sum(axis=1) / np.sqrt(bits)})
 
-    return vectors.select("id", "v").mapInPandas(
-        codes, "id long, v array<double>, code binary, norm double, fit double")
+    return vectors.select(F.monotonically_increasing_id().alias("row"), "id", "v").mapInPandas(
+        codes, "row long, id long, v array<double>, list int, code binary, norm double, fit double")
 
 
 def estimates(queries: np.ndarray, centre: np.ndarray, turn: np.ndarray, codes: np.ndarray,
@@ -71,7 +105,8 @@ def estimates(queries: np.ndarray, centre: np.ndarray, turn: np.ndarray, codes:
     """Estimated inner products (queries x vectors) and their error bounds.
 
     <q, x> = <q, c> + |x - c| <q, o>, and <q, o> is estimated by <Rq, signs> / sqrt(bits) /
-    fit; its deviation is |q| sqrt((1 - fit^2) / fit^2 / (bits - 1)).
+    fit; its deviation is |q| sqrt((1 - fit^2) / fit^2 / (bits - 1)). The bound covers the
+    rounding of single precision too, so copies of a centroid are never lost to it.
     """
     bits = turn.shape[1]
     signs = np.unpackbits(codes, axis=1, count=bits).astype(np.float32) * 2 - 1
@@ -80,7 +115,8 @@ def estimates(queries: np.ndarray, centre: np.ndarray, turn: np.ndarray, codes:
     scale = (norm / held / np.sqrt(bits)).astype(np.float32)
     est = raw * scale + (queries @ centre).astype(np.float32)[:, None]
     spread = norm * np.sqrt(np.maximum(0.0, 1 - held ** 2) / held ** 2 / (bits - 1))
-    bound = np.linalg.norm(queries, axis=1)[:, None] * (width * spread + 1e-6 * norm)
+    bound = np.linalg.norm(queries, axis=1)[:, None] * (
+        width * spread + 1e-6 * (norm + np.linalg.norm(centre)))
     return est, bound.astype(np.float32)
 
 
@@ -89,39 +125,133 @@ def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (vectors * query).sum(axis=1)
 
 
-class _Block:
-    """The queries of a block with the best ``k`` vectors found so far."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
-        self.ids, self.vectors, self.k = ids, vectors, k
-        self.best = [(np.empty(0, np.int64), np.empty(0)) for _ in ids]
-        self.least = np.full(len(ids), -np.inf)
-
-    def see(self, ids, vectors, codes, norm, fit, centre, turn, width) -> None:
-        est, bound = estimates(self.vectors, centre, turn, codes, norm, fit, width)
-        low, high = est - bound, est + bound
-        own = ids[None, :] == self.ids[:, None]
-        low[own] = high[own] = -np.inf
-        floor = self.least
-        if len(ids) >= self.k:  # k candidates have at least this true product
-            at = len(ids) - self.k
-            floor = np.maximum(floor, np.partition(low, at, axis=1)[:, at])
-        for i, at in enumerate((high >= floor[:, None]) & ~own):
-            at = np.flatnonzero(at)
-            if not len(at):
-                continue
-            found = np.concatenate([self.best[i][0], ids[at]])
-            score = np.concatenate([self.best[i][1], exact(vectors[at], self.vectors[i])])
-            top = np.lexsort((found, -score))[:self.k]
-            self.best[i] = found[top], score[top]
-            if len(top) == self.k:
-                self.least[i] = score[top[-1]]
+def lists_of(asked: DataFrame, centres: np.ndarray, reach: np.ndarray, sizes: np.ndarray,
+             k: int, first: bool) -> DataFrame:
+    """(query_id, q, floor, list): lists a query has to see.
 
-    def rows(self) -> pd.DataFrame:
-        n = [len(b[0]) for b in self.best]
-        return pd.DataFrame({"query_id": np.repeat(self.ids, n),
-                             "vec_id": np.concatenate([b[0] for b in self.best]),
-                             "score": np.concatenate([b[1] for b in self.best])})
+    The first ones are those of the nearest centres that hold ``FIRST_LISTS`` times k vectors;
+    later ones are all whose <q, c> + |q| reach is not below the query's floor.
+    """
+
+    def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for i in range(0, len(frame), QUERY_BLOCK):
+                part = frame.iloc[i:i + QUERY_BLOCK]
+                if not len(part):
+                    continue
+                q = np.stack(part["q"].to_numpy())
+                near = q @ centres.T
+                if first:
+                    order = np.argsort(-near, axis=1, kind="stable")
+                    ahead = np.cumsum(sizes[order], axis=1) - sizes[order]
+                    row, at = np.nonzero((ahead < FIRST_LISTS * (k + 1)) & (sizes[order] > 0))
+                    of = order[row, at]
+                else:
+                    length = np.linalg.norm(q, axis=1)[:, None]
+                    best = near + length * reach * (1 + 1e-9) + 1e-9 * (np.abs(near) + length)
+                    row, of = np.nonzero((best >= part["floor"].to_numpy()[:, None]) & (sizes > 0))
+                yield pd.DataFrame({
+                    "query_id": part["query_id"].to_numpy()[row], "q": list(q[row]),
+                    "floor": part["floor"].to_numpy()[row], "list": of.astype(np.int32)})
+
+    return asked.mapInPandas(choose, "query_id long, q array<double>, floor double, list int")
+
+
+class _Slice:
+    """The codes of a slice of a list, and queries that wait for comparison with them."""
+
+    def __init__(self, unit, centre, turn, width, k, first):
+        self.unit, self.centre, self.turn, self.width = unit, centre, turn, width
+        self.k, self.first = k, first
+        self.codes, self.queries = [], []
+
+    def add(self, part: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        if part["kind"].iloc[0] == 0:
+            self.codes.append(part[["row", "id", "code", "norm", "fit"]])
+            return
+        if len(self.codes) > 1:
+            self.codes = [pd.concat(self.codes)]
+        for i in range(0, len(part), QUERY_BLOCK):
+            if self.codes:
+                yield self.compare(part.iloc[i:i + QUERY_BLOCK], self.codes[0])
+
+    def compare(self, part: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        """Rows that may be among a query's best: the best estimates, or all up to the floor."""
+        rows, of, est_of = [], [], []
+        asked, floor = part["query_id"].to_numpy(), part["floor"].to_numpy()
+        q = np.stack(part["q"].to_numpy())
+        for i in range(0, len(held), 4096):
+            some = held.iloc[i:i + 4096]
+            codes = np.frombuffer(b"".join(some["code"]), np.uint8)
+            est, bound = estimates(q, self.centre, self.turn, codes.reshape(len(some), -1),
+                                   some["norm"].to_numpy(), some["fit"].to_numpy(), self.width)
+            own = some["id"].to_numpy()[None, :] == asked[:, None]
+            if self.first:
+                est[own] = -np.inf
+                if len(some) > self.k:
+                    own |= est < np.partition(est, len(some) - self.k, axis=1)[
+                        :, len(some) - self.k][:, None]
+            else:
+                own |= est + bound < floor[:, None]
+            query, at = np.nonzero(~own)
+            rows.append(some["row"].to_numpy()[at])
+            of.append(asked[query])
+            est_of.append(est[query, at])
+        return pd.DataFrame({"query_id": np.concatenate(of), "row": np.concatenate(rows),
+                             "est": np.concatenate(est_of).astype(float)})
+
+
+def candidates(index: DataFrame, wanted: DataFrame, centres: np.ndarray, sizes: np.ndarray,
+               bits: int, width: float, k: int, first: bool) -> DataFrame:
+    """(query_id, row, est): rows of the wanted lists that the codes let through.
+
+    A list is cut into slices of about ``VECTOR_BLOCK`` codes. A task holds one slice and
+    streams its queries past it, so a list that holds a third of all vectors, or that all
+    queries want, is many tasks or a longer stream, never more memory. Codes are shipped once.
+    """
+    cuts = np.maximum(1, -(-sizes // VECTOR_BLOCK))
+    spark = index.sparkSession
+    # one row per list, MOST_LISTS at most
+    of_list = F.broadcast(spark.createDataFrame(
+        [(i, int(c)) for i, c in enumerate(cuts)], "list int, cuts int"))
+    codes = index.join(of_list, "list").select(
+        "list", F.pmod(F.xxhash64("row"), "cuts").cast("int").alias("slice"), F.lit(0).alias("kind"),
+        "row", "id", "code", "norm", "fit", F.lit(None).cast("long").alias("query_id"),
+        F.lit(None).cast("array<double>").alias("q"), F.lit(None).cast("double").alias("floor"))
+    queries = wanted.join(of_list, "list").select(
+        "list", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("slice"),
+        F.lit(1).alias("kind"), F.lit(None).cast("long").alias("row"),
+        F.lit(None).cast("long").alias("id"), F.lit(None).cast("binary").alias("code"),
+        F.lit(None).cast("double").alias("norm"), F.lit(None).cast("double").alias("fit"),
+        "query_id", "q", "floor")
+    tasks = int(max(1, min(cuts.sum(), max(8, sizes.sum() // VECTOR_BLOCK))))
+    dealt = codes.unionByName(queries).repartition(tasks, "list", "slice").sortWithinPartitions(
+        "list", "slice", "kind")
+
+    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn, held = rotation(centres.shape[1], bits), None
+        for frame in frames:
+            for unit, part in frame.groupby(["list", "slice", "kind"], sort=True):
+                if held is None or held.unit != unit[:2]:
+                    held = _Slice(unit[:2], centres[unit[0]], turn, width, k, first)
+                yield from held.add(part)
+
+    return dealt.mapInPandas(search, "query_id long, row long, est double")
+
+
+def scored(found: DataFrame, index: DataFrame, asked: DataFrame) -> DataFrame:
+    """(query_id, vec_id, score): found pairs with the product of the original vectors."""
+    pairs = (found.join(index.select("row", "id", "v"), "row")
+             .join(asked.select("query_id", "q"), "query_id").select("query_id", "id", "v", "q"))
+
+    def products(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                yield pd.DataFrame({
+                    "query_id": frame["query_id"], "vec_id": frame["id"],
+                    "score": exact(np.stack(frame["v"].to_numpy()), np.stack(frame["q"].to_numpy()))})
+
+    return pairs.mapInPandas(products, "query_id long, vec_id long, score double")
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id",
@@ -138,8 +268,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
     are that many candidates for others. No usable vectors give an empty result. Extra columns are not
     read.
 
-    Queries are dealt in blocks, and every block meets every slice of the vectors; a task
-    streams one slice past one block, so memory is bounded by the block.
+    Lists and codes are made once and written. What crosses the network a query is its own
+    vector for each list it sees and the vectors that pass its floor; how few lists that is
+    depends on how the vectors cluster (all of them for vectors without any structure).
     """
     all_usable = usable(vectors, key, vector)
     lengths = all_usable.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"))
@@ -149,60 +280,32 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     d, n = common["d"], common["n"]
     same = all_usable.filter(F.size("v") == d)
-    means = same.agg(*[F.avg(F.get("v", i)) for i in range(d)]).first()
-    centre = [float(x) for x in means]
     bits = max(bits, -(-d // 8) * 8)
-    index = written(encode(same, centre, bits), "codes")
-
-    asked = index.filter(is_query).groupBy("id").agg(F.min("v").alias("v"))
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    slices = max(1, -(-n // VECTOR_BLOCK))
-    query_rows = asked.select(
-        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"),
-        F.lit(0).alias("kind"), "id", "v", F.lit(None).cast("binary").alias("code"),
-        F.lit(None).cast("double").alias("norm"), F.lit(None).cast("double").alias("fit"))
-    vector_rows = index.select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-        F.pmod(F.xxhash64("id", "norm", F.lit(2)), F.lit(slices)).cast("int").alias("slice"),
-        F.lit(1).alias("kind"), "id", "v", "code", "norm", "fit")
-    dealt = query_rows.unionByName(vector_rows).repartition(
-        blocks * slices, "block", "slice").sortWithinPartitions("block", "slice", "kind")
-    c = np.array(centre)
-
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        turn, now, block = rotation(d, bits), None, None
-        for frame in frames:
-            for unit, part in frame.groupby(["block", "slice", "kind"], sort=True):
-                v = np.stack(part["v"].to_numpy())
-                ids = part["id"].to_numpy()
-                if unit[2] == 0:
-                    if now == unit[:2]:  # the block's queries go on in the next batch
-                        block = _Block(np.concatenate([block.ids, ids]),
-                                       np.concatenate([block.vectors, v]), k)
-                    else:
-                        if block is not None:
-                            yield block.rows()
-                        now, block = unit[:2], _Block(ids, v, k)
-                    continue
-                if now != unit[:2]:
-                    if block is not None:
-                        yield block.rows()
-                    now, block = unit[:2], None
-                if block is None:
-                    continue
-                for i in range(0, len(ids), 4096):
-                    codes = np.frombuffer(b"".join(part["code"].iloc[i:i + 4096]), np.uint8)
-                    block.see(ids[i:i + 4096], v[i:i + 4096], codes.reshape(-1, bits // 8),
-                              part["norm"].to_numpy()[i:i + 4096],
-                              part["fit"].to_numpy()[i:i + 4096], c, turn, width)
-        if block is not None:
-            yield block.rows()
-
-    found = dealt.mapInPandas(search, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).filter(
-        F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    centres = centroids(same, n, d)
+    index = written(encode(same, centres, bits), "codes")
+    sizes, reach = np.zeros(len(centres), np.int64), np.zeros(len(centres))
+    for r in index.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("reach")).collect():
+        sizes[r["list"]], reach[r["list"]] = r["n"], r["reach"]
+
+    asked = written(index.filter(is_query).groupBy(F.col("id").alias("query_id")).agg(
+        F.min("v").alias("q")), "asked").withColumn("floor", F.lit(float("-inf")))
+    order = Window.partitionBy("query_id")
+    wanted = lists_of(asked, centres, reach, sizes, k, first=True)
+    best = candidates(index, wanted, centres, sizes, bits, width, k, first=True)
+    best = best.withColumn("nr", F.row_number().over(order.orderBy(F.desc("est"), "row"))).filter(
+        F.col("nr") <= k)
+    floors = scored(best, index, asked).groupBy("query_id").agg(
+        F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
+    floors = floors.filter(F.col("n") >= k).select("query_id", "least")
+    floored = written(asked.drop("floor").join(floors, "query_id", "left").select(
+        "query_id", "q", F.coalesce("least", F.lit(float("-inf"))).alias("floor")), "floors")
+
+    wanted = lists_of(floored, centres, reach, sizes, k, first=False)
+    found = scored(candidates(index, wanted, centres, sizes, bits, width, k, first=False), index, floored)
+    discard(asked)
+    return found.withColumn("rank", F.row_number().over(
+        order.orderBy(F.desc("score"), "vec_id"))).filter(F.col("rank") <= k).select(
+        "query_id", "rank", "vec_id", "score")
 
 
 by_value(__name__)
