@@ -5,10 +5,11 @@ centroid and o a unit vector; o is rotated at random and only its signs are kept
 two numbers to correct the estimate. A query estimates <q, o> from the bits alone, with a bound
 on the error.
 
-A query first scores the best estimates of a few lists; the worst of these scores is a floor
-under its result. Lists whose best conceivable product, <q, c> + |q| radius, is below the floor
-are skipped; in the others only vectors whose upper bound reaches the floor are scored. Codes
-meet queries; vectors are joined to what the codes let through.
+A query first searches a few lists near it; its k-th best score there is a floor under its
+result. Lists whose best conceivable product, <q, c> + |q| radius, is below the floor are
+skipped; in the others only vectors whose upper bound reaches the floor, or the best lower bounds
+seen since, are scored. Neighbouring lists make a group, and each vector travels once to its
+group's task; a query travels to the groups that hold a list it has to see.
 """
 
 from __future__ import annotations
@@ -28,8 +29,8 @@ BITS = 256
 #: per side, before the 20 best are compared.
 WIDTH = 3.0
 SEED = 77
-#: Queries that are compared at a time, and vectors of a list that one task holds.
-QUERY_BLOCK, VECTOR_BLOCK = 512, 16_384
+#: Queries that are compared at a time, and vectors of a group, which one task holds.
+QUERY_BLOCK, VECTOR_BLOCK = 512, 8_192
 #: Most lists, vectors the centroids are fitted on (the first in order of a hash), and rounds.
 MOST_LISTS, SAMPLE, ROUNDS = 4_096, 65_536, 8
 #: A query's first lists hold this many times the wanted number of vectors.
@@ -125,133 +126,175 @@ def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (vectors * query).sum(axis=1)
 
 
-def lists_of(asked: DataFrame, centres: np.ndarray, reach: np.ndarray, sizes: np.ndarray,
-             k: int, first: bool) -> DataFrame:
-    """(query_id, q, floor, list): lists a query has to see.
+class Lists:
+    """Centroids with the lists' sizes and radii, and the groups that tasks hold.
 
-    The first ones are those of the nearest centres that hold ``FIRST_LISTS`` times k vectors;
-    later ones are all whose <q, c> + |q| reach is not below the query's floor.
+    Lists in the order of repeated halving along their widest direction fill groups of about
+    ``VECTOR_BLOCK`` vectors; a list with more is several groups of its own, by a hash of the row.
     """
 
-    def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for i in range(0, len(frame), QUERY_BLOCK):
-                part = frame.iloc[i:i + QUERY_BLOCK]
-                if not len(part):
-                    continue
-                q = np.stack(part["q"].to_numpy())
-                near = q @ centres.T
-                if first:
-                    order = np.argsort(-near, axis=1, kind="stable")
-                    ahead = np.cumsum(sizes[order], axis=1) - sizes[order]
-                    row, at = np.nonzero((ahead < FIRST_LISTS * (k + 1)) & (sizes[order] > 0))
-                    of = order[row, at]
-                else:
-                    length = np.linalg.norm(q, axis=1)[:, None]
-                    best = near + length * reach * (1 + 1e-9) + 1e-9 * (np.abs(near) + length)
-                    row, of = np.nonzero((best >= part["floor"].to_numpy()[:, None]) & (sizes > 0))
-                yield pd.DataFrame({
-                    "query_id": part["query_id"].to_numpy()[row], "q": list(q[row]),
-                    "floor": part["floor"].to_numpy()[row], "list": of.astype(np.int32)})
-
-    return asked.mapInPandas(choose, "query_id long, q array<double>, floor double, list int")
-
-
-class _Slice:
-    """The codes of a slice of a list, and queries that wait for comparison with them."""
-
-    def __init__(self, unit, centre, turn, width, k, first):
-        self.unit, self.centre, self.turn, self.width = unit, centre, turn, width
-        self.k, self.first = k, first
-        self.codes, self.queries = [], []
-
-    def add(self, part: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        if part["kind"].iloc[0] == 0:
-            self.codes.append(part[["row", "id", "code", "norm", "fit"]])
-            return
-        if len(self.codes) > 1:
-            self.codes = [pd.concat(self.codes)]
-        for i in range(0, len(part), QUERY_BLOCK):
-            if self.codes:
-                yield self.compare(part.iloc[i:i + QUERY_BLOCK], self.codes[0])
-
-    def compare(self, part: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        """Rows that may be among a query's best: the best estimates, or all up to the floor."""
-        rows, of, est_of = [], [], []
-        asked, floor = part["query_id"].to_numpy(), part["floor"].to_numpy()
-        q = np.stack(part["q"].to_numpy())
-        for i in range(0, len(held), 4096):
-            some = held.iloc[i:i + 4096]
-            codes = np.frombuffer(b"".join(some["code"]), np.uint8)
-            est, bound = estimates(q, self.centre, self.turn, codes.reshape(len(some), -1),
-                                   some["norm"].to_numpy(), some["fit"].to_numpy(), self.width)
-            own = some["id"].to_numpy()[None, :] == asked[:, None]
-            if self.first:
-                est[own] = -np.inf
-                if len(some) > self.k:
-                    own |= est < np.partition(est, len(some) - self.k, axis=1)[
-                        :, len(some) - self.k][:, None]
+    def __init__(self, centres: np.ndarray, sizes: np.ndarray, reach: np.ndarray):
+        self.centres, self.sizes, self.reach = centres, sizes, reach
+        self.cuts = np.maximum(1, -(-sizes // VECTOR_BLOCK))
+        self.group = np.zeros(len(sizes), np.int64)
+        self.groups, held = 0, VECTOR_BLOCK
+        for i in halved(centres, np.arange(len(centres))):
+            if self.cuts[i] > 1 or held + sizes[i] > VECTOR_BLOCK:
+                self.group[i], held = self.groups, int(sizes[i])
+                self.groups += int(self.cuts[i])
+                if self.cuts[i] > 1:
+                    held = VECTOR_BLOCK
             else:
-                own |= est + bound < floor[:, None]
-            query, at = np.nonzero(~own)
-            rows.append(some["row"].to_numpy()[at])
-            of.append(asked[query])
-            est_of.append(est[query, at])
-        return pd.DataFrame({"query_id": np.concatenate(of), "row": np.concatenate(rows),
-                             "est": np.concatenate(est_of).astype(float)})
-
-
-def candidates(index: DataFrame, wanted: DataFrame, centres: np.ndarray, sizes: np.ndarray,
-               bits: int, width: float, k: int, first: bool) -> DataFrame:
-    """(query_id, row, est): rows of the wanted lists that the codes let through.
-
-    A list is cut into slices of about ``VECTOR_BLOCK`` codes. A task holds one slice and
-    streams its queries past it, so a list that holds a third of all vectors, or that all
-    queries want, is many tasks or a longer stream, never more memory. Codes are shipped once.
+                self.group[i] = self.groups - 1
+                held += int(sizes[i])
+
+    def first(self, q: np.ndarray, k: int) -> np.ndarray:
+        """Lists (queries x lists) of the largest <q, c> that hold ``FIRST_LISTS`` times k vectors."""
+        order = np.argsort(-(q @ self.centres.T), axis=1, kind="stable")
+        held = self.sizes[order]
+        out = np.zeros(order.shape, bool)
+        np.put_along_axis(out, order, np.cumsum(held, axis=1) - held < FIRST_LISTS * (k + 1), axis=1)
+        return out & (self.sizes > 0)
+
+    def above(self, q: np.ndarray, floor: np.ndarray) -> np.ndarray:
+        """Lists (queries x lists) that may hold a product of at least ``floor``."""
+        near, length = q @ self.centres.T, np.linalg.norm(q, axis=1)[:, None]
+        far = np.linalg.norm(self.centres, axis=1) + self.reach
+        best = near + length * (self.reach + 1e-9 * far)
+        return (best >= floor[:, None]) & (self.sizes > 0)
+
+    def groups_of(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, group) of every group that holds a wanted list."""
+        query, of = np.nonzero(wanted)
+        n = self.cuts[of]
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        pairs = np.unique(np.repeat(query, n) * self.groups + np.repeat(self.group[of], n) + place)
+        return pairs // self.groups, pairs % self.groups
+
+
+def halved(centres: np.ndarray, of: np.ndarray) -> list[int]:
+    """Numbers of the centres, ordered by halving along the direction they differ most in."""
+    if len(of) <= 2:
+        return of.tolist()
+    rest = centres[of] - centres[of].mean(axis=0)
+    along = rest @ np.linalg.svd(rest, full_matrices=False)[2][0]
+    of = of[np.argsort(along, kind="stable")]
+    half = len(of) // 2
+    return halved(centres, of[:half]) + halved(centres, of[half:])
+
+
+class _Block:
+    """Queries with the best ``k`` vectors found so far; below ``floor`` nothing is wanted."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, floor: np.ndarray, k: int):
+        self.ids, self.vectors, self.k = ids, vectors, k
+        self.best = [(np.empty(0, np.int64), np.empty(0)) for _ in ids]
+        self.least = floor.copy()
+
+    def see(self, who, ids, vectors, codes, norm, fit, centre, turn, width) -> None:
+        est, bound = estimates(self.vectors[who], centre, turn, codes, norm, fit, width)
+        low, high = est - bound, est + bound
+        own = ids[None, :] == self.ids[who][:, None]
+        low[own] = high[own] = -np.inf
+        floor = self.least[who]
+        if len(ids) >= self.k:  # k candidates have at least this true product
+            at = len(ids) - self.k
+            floor = np.maximum(floor, np.partition(low, at, axis=1)[:, at])
+        reached = (high >= floor[:, None]) & ~own
+        for row in np.flatnonzero(reached.any(axis=1)):
+            i, at = who[row], np.flatnonzero(reached[row])
+            found = np.concatenate([self.best[i][0], ids[at]])
+            score = np.concatenate([self.best[i][1], exact(vectors[at], self.vectors[i])])
+            top = np.lexsort((found, -score))[:self.k]
+            self.best[i] = found[top], score[top]
+            if len(top) == self.k:
+                self.least[i] = max(self.least[i], score[top[-1]])
+
+    def rows(self) -> pd.DataFrame:
+        n = [len(b[0]) for b in self.best]
+        return pd.DataFrame({"query_id": np.repeat(self.ids, n),
+                             "vec_id": np.concatenate([b[0] for b in self.best]),
+                             "score": np.concatenate([b[1] for b in self.best])})
+
+
+class _Group:
+    """The vectors of a group by list, and a search of its lists for blocks of queries."""
+
+    def __init__(self, frames: list[pd.DataFrame]):
+        rows = pd.concat(frames).sort_values(["list", "id"], kind="stable")
+        self.v = np.stack(rows["v"].to_numpy())
+        self.codes = np.frombuffer(b"".join(rows["code"]), np.uint8).reshape(len(rows), -1)
+        self.id, self.norm, self.fit = (rows[c].to_numpy() for c in ("id", "norm", "fit"))
+        self.lists, starts = np.unique(rows["list"].to_numpy(int), return_index=True)
+        self.spans = list(zip(starts, [*starts[1:], len(rows)]))
+
+    def search(self, part: pd.DataFrame, lists: Lists, turn, width, k, first) -> pd.DataFrame:
+        q, floor = np.stack(part["v"].to_numpy()), part["norm"].to_numpy()
+        block = _Block(part["id"].to_numpy(), q, floor, k)
+        wanted = lists.first(q, k) if first else lists.above(q, floor)
+        for of, (a, b) in zip(self.lists, self.spans):
+            who = np.flatnonzero(wanted[:, of])
+            for i in range(a, b if len(who) else a, 4096):
+                at = slice(i, min(b, i + 4096))
+                block.see(who, self.id[at], self.v[at], self.codes[at], self.norm[at],
+                          self.fit[at], lists.centres[of], turn, width)
+        return block.rows()
+
+
+def searched(index: DataFrame, asked: DataFrame, lists: Lists, bits: int, width: float, k: int,
+             first: bool) -> DataFrame:
+    """(query_id, vec_id, score): the best ``k`` of every group that a query of (query_id, q, floor) has to see.
+
+    A task holds one group of vectors and streams its queries past it, so a list that holds a
+    third of all vectors, or that all queries want, is more tasks or a longer stream, never
+    more memory.
     """
-    cuts = np.maximum(1, -(-sizes // VECTOR_BLOCK))
-    spark = index.sparkSession
+    spark, number = index.sparkSession, lists.groups
     # one row per list, MOST_LISTS at most
     of_list = F.broadcast(spark.createDataFrame(
-        [(i, int(c)) for i, c in enumerate(cuts)], "list int, cuts int"))
-    codes = index.join(of_list, "list").select(
-        "list", F.pmod(F.xxhash64("row"), "cuts").cast("int").alias("slice"), F.lit(0).alias("kind"),
-        "row", "id", "code", "norm", "fit", F.lit(None).cast("long").alias("query_id"),
-        F.lit(None).cast("array<double>").alias("q"), F.lit(None).cast("double").alias("floor"))
-    queries = wanted.join(of_list, "list").select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("slice"),
-        F.lit(1).alias("kind"), F.lit(None).cast("long").alias("row"),
-        F.lit(None).cast("long").alias("id"), F.lit(None).cast("binary").alias("code"),
-        F.lit(None).cast("double").alias("norm"), F.lit(None).cast("double").alias("fit"),
-        "query_id", "q", "floor")
-    tasks = int(max(1, min(cuts.sum(), max(8, sizes.sum() // VECTOR_BLOCK))))
-    dealt = codes.unionByName(queries).repartition(tasks, "list", "slice").sortWithinPartitions(
-        "list", "slice", "kind")
+        [(i, int(g), int(c)) for i, (g, c) in enumerate(zip(lists.group, lists.cuts))],
+        "list int, first_group long, cuts long"))
+    vectors = index.join(of_list, "list").select(
+        (F.col("first_group") + F.pmod(F.xxhash64("row"), "cuts")).alias("group"),
+        F.lit(0).alias("kind"), "list", "id", "v", "code", "norm", "fit")
 
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        turn, held = rotation(centres.shape[1], bits), None
+    def choose(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for unit, part in frame.groupby(["list", "slice", "kind"], sort=True):
-                if held is None or held.unit != unit[:2]:
-                    held = _Slice(unit[:2], centres[unit[0]], turn, width, k, first)
-                yield from held.add(part)
-
-    return dealt.mapInPandas(search, "query_id long, row long, est double")
+            for i in range(0, len(frame), QUERY_BLOCK):
+                part = frame.iloc[i:i + QUERY_BLOCK]
+                q, floor = np.stack(part["q"].to_numpy()), part["floor"].to_numpy()
+                query, group = lists.groups_of(lists.first(q, k) if first else lists.above(q, floor))
+                yield pd.DataFrame({"group": group, "id": part["query_id"].to_numpy()[query],
+                                    "v": list(q[query]), "norm": floor[query]})
+
+    # a query's floor travels in the column of a vector's norm
+    queries = asked.mapInPandas(choose, "group long, id long, v array<double>, norm double").select(
+        "group", F.lit(1).alias("kind"), F.lit(None).cast("int").alias("list"), "id", "v",
+        F.lit(None).cast("binary").alias("code"), "norm", F.lit(None).cast("double").alias("fit"))
+    dealt = vectors.unionByName(queries).repartition(number, "group").sortWithinPartitions(
+        "group", "kind")
 
+    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        turn, now, parts, held = rotation(lists.centres.shape[1], bits), None, [], None
+        for frame in frames:
+            for (group, kind), part in frame.groupby(["group", "kind"], sort=True):
+                if group != now:
+                    now, parts, held = group, [], None
+                if kind == 0:
+                    parts.append(part)
+                    continue
+                if parts:
+                    held, parts = _Group(parts), []
+                for i in range(0, len(part) if held else 0, QUERY_BLOCK):
+                    yield held.search(part.iloc[i:i + QUERY_BLOCK], lists, turn, width, k, first)
 
-def scored(found: DataFrame, index: DataFrame, asked: DataFrame) -> DataFrame:
-    """(query_id, vec_id, score): found pairs with the product of the original vectors."""
-    pairs = (found.join(index.select("row", "id", "v"), "row")
-             .join(asked.select("query_id", "q"), "query_id").select("query_id", "id", "v", "q"))
+    return dealt.mapInPandas(search, "query_id long, vec_id long, score double")
 
-    def products(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if len(frame):
-                yield pd.DataFrame({
-                    "query_id": frame["query_id"], "vec_id": frame["id"],
-                    "score": exact(np.stack(frame["v"].to_numpy()), np.stack(frame["q"].to_numpy()))})
 
-    return pairs.mapInPandas(products, "query_id long, vec_id long, score double")
+def best_of(found: DataFrame, k: int) -> DataFrame:
+    """Every query's ``k`` best rows, with their rank."""
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id",
@@ -268,9 +311,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
     are that many candidates for others. No usable vectors give an empty result. Extra columns are not
     read.
 
-    Lists and codes are made once and written. What crosses the network a query is its own
-    vector for each list it sees and the vectors that pass its floor; how few lists that is
-    depends on how the vectors cluster (all of them for vectors without any structure).
+    Lists and codes are made once and written. Each search ships every vector once, and a
+    query to the groups it has to see; how few they are depends on how the vectors cluster
+    (all of them for vectors without any structure).
     """
     all_usable = usable(vectors, key, vector)
     lengths = all_usable.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"))
@@ -287,25 +330,17 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, key: str = "vec_i
     for r in index.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("reach")).collect():
         sizes[r["list"]], reach[r["list"]] = r["n"], r["reach"]
 
+    lists = Lists(centres, sizes, reach)
+    lowest = F.lit(float("-inf"))
     asked = written(index.filter(is_query).groupBy(F.col("id").alias("query_id")).agg(
-        F.min("v").alias("q")), "asked").withColumn("floor", F.lit(float("-inf")))
-    order = Window.partitionBy("query_id")
-    wanted = lists_of(asked, centres, reach, sizes, k, first=True)
-    best = candidates(index, wanted, centres, sizes, bits, width, k, first=True)
-    best = best.withColumn("nr", F.row_number().over(order.orderBy(F.desc("est"), "row"))).filter(
-        F.col("nr") <= k)
-    floors = scored(best, index, asked).groupBy("query_id").agg(
-        F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))
-    floors = floors.filter(F.col("n") >= k).select("query_id", "least")
-    floored = written(asked.drop("floor").join(floors, "query_id", "left").select(
-        "query_id", "q", F.coalesce("least", F.lit(float("-inf"))).alias("floor")), "floors")
-
-    wanted = lists_of(floored, centres, reach, sizes, k, first=False)
-    found = scored(candidates(index, wanted, centres, sizes, bits, width, k, first=False), index, floored)
+        F.min("v").alias("q")), "asked")
+    near = searched(index, asked.withColumn("floor", lowest), lists, bits, width, k, first=True)
+    floors = best_of(near, k).filter(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+    floored = written(asked.join(floors, "query_id", "left").select(
+        "query_id", "q", F.coalesce("floor", lowest).alias("floor")), "floors")
     discard(asked)
-    return found.withColumn("rank", F.row_number().over(
-        order.orderBy(F.desc("score"), "vec_id"))).filter(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+    found = searched(index, floored, lists, bits, width, k, first=False)
+    return best_of(found, k).select("query_id", "rank", "vec_id", "score")
 
 
 by_value(__name__)

@@ -76,6 +76,36 @@ def test_error_bounds_hold():
     assert (off <= bound).mean() > 0.99 and off.mean() > 0.01
 
 
+def test_lists_are_skipped_and_hot_ones_cut(spark, monkeypatch):
+    """Few lists can hold a clustered query's neighbours; a list of copies is several groups."""
+    rng = np.random.default_rng(4)
+    middle = rng.standard_normal((40, 24)) * 6
+    x = np.repeat(middle, 50, axis=0) + rng.standard_normal((2000, 24)) * 0.1
+    x = np.vstack([x, np.tile(middle[3], (900, 1))])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    monkeypatch.setattr(ann, "VECTOR_BLOCK", 100)
+    df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], V.replace("float", "double"))
+    got, want = found(ann.nearest(df, F.col("id") % 20 == 0, k=5)), brute(rows, 5, 20)
+    assert got.keys() == want.keys()
+    for q in want:
+        assert np.allclose([s for _, s in got[q]], [-s if s < 0 else s for _, s in want[q]], rtol=1e-9)
+    centres = ann.centroids(ann.usable(df, "vec_id", "embedding"), len(x), 24)
+    of = ann.nearest_centre(x, centres)
+    sizes = np.bincount(of, minlength=len(centres))
+    reach = np.array([max([np.linalg.norm(x[i] - centres[c]) for i in np.flatnonzero(of == c)], default=0)
+                      for c in range(len(centres))])
+    lists = ann.Lists(centres, sizes, reach)
+    q = x[:2000:20]
+    floor = np.array([np.sort(x @ a)[-6] for a in q])
+    wanted = lists.above(q, floor)
+    best = np.argsort(-(q @ x.T), axis=1, kind="stable")[:, :5]
+    assert np.take_along_axis(wanted, of[best], axis=1).all() and wanted.mean() < 0.2
+    query, group = lists.groups_of(wanted)
+    assert len(query) < 0.4 * len(q) * lists.groups and group.max() < lists.groups
+    assert sorted(ann.halved(centres, np.arange(len(centres)))) == list(range(len(centres)))
+    assert lists.cuts.max() >= 8
+
+
 C = "conv_id long, turn long, role string, text string, k string"
 
 
