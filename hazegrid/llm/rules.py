@@ -18,6 +18,8 @@ from hazegrid.llm.common import word_array, written
 SYMBOLS = "#*$%&|<>"
 #: Words of a repetition window.
 WINDOW = 3
+#: Words that distinct ones are held against at most.
+VOCABULARY = 2_000
 
 #: Frequent function words of the corpus's languages.
 STOP_WORDS = ("the of and to in a is that for it was on are as with his they at be this from "
@@ -102,6 +104,8 @@ def rules() -> list[Rule]:
         return Rule(name, share(name, of) < reject, share(name, of) >= accept)
 
     mean = share("word_chars")
+    # new words get rarer as a text goes on, so words beyond the vocabulary of a page do not count
+    variety = share("n_distinct", F.least(words, F.lit(VOCABULARY)))
     return [
         Rule("length", words < 20, words >= 50),
         Rule("word_length", (mean < 2.5) | (mean > 12), mean.between(3, 9)),
@@ -110,8 +114,7 @@ def rules() -> list[Rule]:
         high("n_repeat_words", 0.1, 0.3),
         low("n_stop", 0.06, 0.12),
         low("n_ended", 0.005, 0.02),
-        Rule("n_distinct", (words >= 50) & (words < 2000) & (share("n_distinct") < 0.25),
-             share("n_distinct") >= 0.4),
+        Rule("n_distinct", (words >= 50) & (variety < 0.25), variety >= 0.4),
         high("n_digits", 0.1, 0.5),
     ]
 

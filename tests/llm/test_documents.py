@@ -161,6 +161,17 @@ def test_posteriors_match_the_model(docs, spark):
     assert rules.weak_quality(none(spark)).count() == 0
 
 
+def test_repetitive_texts_of_any_length_are_rejected(spark):
+    """The vote on distinct words does not depend on which side of a page a text ends."""
+    place = [r.name for r in rules.rules()].index("n_distinct")
+    rows = [(n, " ".join(f"w{i % 12}" for i in range(n)), "en", "s", 0) for n in (60, 1999, 2000, 30_000)]
+    rows += [(-n, " ".join(f"w{i * 7 % max(n // 2, 900)}" for i in range(n)), "en", "s", 0)
+             for n in (60, 1999, 2000, 30_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for r in rules.weak_quality(df).collect():
+        assert r["votes"][place] == (rules.REJECT if r["doc_id"] > 0 else rules.ACCEPT)
+
+
 def test_em_finds_accuracies():
     rng = np.random.default_rng(5)
     good = rng.random(20_000) < 0.8
