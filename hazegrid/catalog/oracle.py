@@ -9,7 +9,7 @@ from hazegrid.functions import index as aqi
 from hazegrid.functions.labels import LABELS, dashboard_labels
 from hazegrid.operators import explore
 from hazegrid.operators import windows as win
-from hazegrid.schemas import (EXPLAIN_ROWS, FEATURES, LAGS, LEAD_INTERACTIONS, MODEL_INPUTS,
+from hazegrid.schemas import (AVERAGING, EXPLAIN_ROWS, FEATURES, LAGS, LEAD_INTERACTIONS, MODEL_INPUTS,
                               POLLUTANT_WINDOWS, POLLUTANTS, ROLLING, SENSORS, TOP_DRIVERS, TRENDS, WEATHER,
                               WEATHER_MEANS, WEATHER_VARIABLES)
 from hazegrid.sources.fixtures import ARRIVAL
@@ -803,6 +803,13 @@ def oracle_sql() -> dict[str, str]:
             "ts, avg(pm2_5) over d as avg, count(pm2_5) over d as n from hourly window d as "
             "(partition by station_id order by h rows between 23 preceding and current row)) "
             "where n >= 18", "hourly"),
+        "stream_panes": pipeline(
+            "select station_id, ts, " + ", ".join(
+                f"case when count({p}) over w{hours} >= {least} then round(avg({p}) over w{hours}, 9) end "
+                f"as {p}_avg" for p, (hours, least) in AVERAGING.items())
+            + " from hourly window " + ", ".join(
+                f"w{hours} as (partition by station_id order by h rows between {hours - 1} preceding "
+                f"and current row)" for hours in sorted({h for h, _ in AVERAGING.values()})), "hourly"),
         "stream_lags": pipeline(
             f"select station_id, ts, aqi, {_cols(f'aqi_lag_{h}h' for h in LAGS)} from windowed",
             "windowed"),

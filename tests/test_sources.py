@@ -11,7 +11,7 @@ from series import START, readings, sorted_pandas, to_spark
 
 from hazegrid.operators import forecast, frame, models, quality
 from hazegrid.plans.features import build_features
-from hazegrid.schemas import FEATURES, MODEL_INPUTS, POLLUTANT_SCHEMA
+from hazegrid.schemas import AVERAGING, FEATURES, MODEL_INPUTS, POLLUTANT_SCHEMA
 from hazegrid.session import new_folder, shared_folder, written
 from hazegrid.sources import feeds, registry, snapshot, tables
 from hazegrid.streaming import collector, live
@@ -232,6 +232,30 @@ def test_late_hours_are_taken_within_the_stated_lateness_and_counted_beyond(spar
             np.testing.assert_allclose(got.toPandas().sort_values("ts").average, want)
 
 
+def test_panes_take_hours_of_any_age(spark):
+    """Newest first, an hour sent again, a year-old hour and a replay: averages as in one piece."""
+    rng = np.random.default_rng(8)
+    hours = START + pd.to_timedelta(np.arange(2200), unit="h")  # longer than a chunk
+    df = pd.DataFrame({"station_id": 1, "ts": hours, **{
+        p: np.where(rng.random(2200) < 0.2, np.nan, rng.random(2200) * 90) for p in AVERAGING}})
+    old = pd.DataFrame({"station_id": 1, "ts": START - pd.Timedelta("400d"), **dict.fromkeys(AVERAGING, 5.0)},
+                       index=[0])
+    wrong = df[1990:2010].assign(pm2_5=1e6)
+    job = live.PaneTable(new_folder(spark, "panes"), new_folder(spark, "averages"))
+    pieces = [df[2050:], wrong, old, df[1000:2050], df[:1000], df[1990:2010]]
+    for i, piece in enumerate(pieces):
+        batch = to_spark(spark, piece)
+        job.apply(batch, i)
+    job.apply(batch, i)
+    job.apply(batch.filter("false"), i + 1)
+    got = job.table(spark).toPandas().sort_values("ts").reset_index(drop=True)
+    whole = pd.concat([old, df]).reset_index(drop=True)
+    assert list(got.ts) == list(whole.ts)
+    for p, (span, least) in AVERAGING.items():
+        want = whole.set_index("ts")[p].rolling(f"{span}h", min_periods=least).mean()
+        np.testing.assert_allclose(got[f"{p}_avg"], want, equal_nan=True)
+
+
 def test_duplicates_are_dropped_and_their_state_with_the_watermark(spark):
     ts = START + pd.to_timedelta(np.arange(400) // 2, unit="h")
     df = pd.DataFrame({"station_id": 1, "ts": ts})
