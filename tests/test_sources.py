@@ -125,6 +125,23 @@ def test_snapshot_roundtrip(spark, table):
     assert doc.current.trend_6h == round(want.aqi.iloc[-1] - want.aqi.iloc[-7], 1)
 
 
+def test_snapshot_reads_the_table_once(spark, table, capsys):
+    """Newest row, trend, history and lines come out of one scan of few columns."""
+    path = new_folder(spark, "table")
+    tables.write_version(table, path, 1)
+    ahead = written(forecast.persistence_forecast(table), "ahead")
+    served = spark.createDataFrame([("day1", 1, "absolute", .9, 1., 1.)],
+                                   "model string, version long, type string, r2 double, "
+                                   "rmse double, mae double")
+    docs = snapshot.build_snapshot(tables.read_version(spark, path, 1), ahead, served)
+    docs.explain()
+    plan = capsys.readouterr().out
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "day:int" not in line]
+    assert len(scans) == 1 and "pm2_5" in scans[0] and "aqi_lag" not in scans[0]
+    day = forecast.history(table).filter("station_id = 2 and aqi is not null")
+    assert len(docs.filter("station_id = 2").first().history) == day.count()
+
+
 def landed(df, number):
     """Readings of both feeds from merged rows, numbered by arrival."""
     out = []
