@@ -130,3 +130,16 @@ def test_no_window_over_a_whole_station(spark):
         if "chunk" not in w.partitionSpec().mkString(","):
             names = {w.child().output().apply(i).name() for i in range(w.child().output().size())}
             assert "hour" not in names
+
+
+def test_tasks_follow_the_hours_of_the_grid(spark):
+    """Pairs of readings far apart take few bytes and make a long grid."""
+    from hazegrid.operators.chunks import TASK_ROWS
+    from hazegrid.operators.grid import hourly_frames
+    ends = readings(30, stations=range(12), seed=1, present=1.0).groupby("station_id").nth([0, -1])
+    late = ends.groupby("station_id").cumcount() == 1
+    df = ends.assign(ts=ends["ts"] + pd.to_timedelta(np.where(late, TASK_ROWS, 0), unit="h"))
+    plan = hourly_frames(to_spark(spark, df))._jdf.queryExecution().optimizedPlan().toString()
+    tasks = [int(line.rsplit(" ", 1)[1]) for line in plan.splitlines()
+             if "RepartitionByExpression" in line and line.rsplit(" ", 1)[1].isdigit()]
+    assert tasks and min(tasks) >= 12
