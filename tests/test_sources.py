@@ -411,3 +411,29 @@ def test_a_stopped_commit_loses_nothing(spark, monkeypatch, stop_at):
         np.testing.assert_allclose(got[c], want[c], rtol=1e-12)
     fs, at = tables._files(spark, feed)
     assert not fs.exists(at(tables.pending_path(feed, version)))
+
+
+def test_stations_share_folders_and_keep_their_rows(spark, tmp_path):
+    """Many stations take few folders; changing one leaves the others of its folder as they are."""
+    from hazegrid.functions.features import epoch_hour
+    from hazegrid.schemas import FEATURE_SCHEMA
+    raw = to_spark(spark, readings(60, stations=range(130), seed=3, present=1.0))
+    fields = {f.name: f.dataType for f in FEATURE_SCHEMA}
+    path = str(tmp_path / "shared")
+    tables.write_version(raw.select(*[
+        (F.col(c) if c in raw.columns else F.lit(None)).cast(kind).alias(c) for c, kind in fields.items()]),
+        path, 1)
+    assert len(list((tmp_path / "shared" / "version=1").glob("*=*"))) == 3
+
+    def rows():
+        counts = tables.read_version(spark, path, 1).groupBy("station_id").agg(F.count("ts").alias("n"))
+        return {r["station_id"]: r["n"] for r in counts.collect()}
+
+    before = rows()
+    assert before == dict.fromkeys(range(130), 60)
+    one, hour = tables.read_version(spark, path, 1).filter("station_id = 7"), epoch_hour("ts")
+    stale = written(one.groupBy("station_id").agg(F.min(hour).alias("low"), (F.min(hour) + 9).alias("high")),
+                    "stale")
+    fresh = written(one.orderBy("ts").limit(3), "fresh")
+    collector.replace_hours(fresh, stale, path, 1)
+    assert rows() == before | {7: 53}
