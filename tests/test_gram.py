@@ -137,3 +137,33 @@ def test_rows_without_features_give_targets_only(spark, table):
     assert len(FEATURES) + 7 == len(MODEL_INPUTS)
     empty = models.train_sums(table.filter("false"))
     assert empty == {}
+
+
+def test_levels_of_linear_models_equal_the_expanded_frame(table):
+    """Predictions from per-row factors, changes and levels side by side, without shuffled inputs."""
+    sums = models.train_sums(table)
+    fits = {day: models.ridge_block(table, day, delta=day == 1, sums=sums) for day in HORIZONS}
+    levels = models.linear_levels(table, fits, deltas=[1])
+    plan = levels._jdf.queryExecution().optimizedPlan().toString()
+    assert "pressure" not in plan[:plan.index("RepartitionByExpression")]
+    keys = ["station_id", "ts", "row_nr", "hours_ahead"]
+    for day, (first, last) in HORIZONS.items():
+        rows = frame.training_frame(table, first, last, delta=day == 1)
+        want = models.predict_level(fits[day], rows, day == 1).toPandas()
+        got = levels.filter(F.col("block") == day).toPandas()
+        both = want.merge(got, on=keys)
+        assert len(both) == len(want) == len(got)
+        assert np.allclose(both["actual_x"], both["actual_y"])
+        assert np.allclose(both["predicted_x"], both["predicted_y"], rtol=1e-9, atol=1e-8)
+
+
+def test_error_sums_equal_the_expanded_frame(table, expanded):
+    rng = np.random.default_rng(4)
+    fits = {day: (float(day), rng.normal(size=len(MODEL_INPUTS)) / 100) for day in HORIZONS}
+    found = gram.error_sums(table, gram.split_part(0.8), fits)
+    assert len(found) == 6
+    for (day, part, _), sums in found.items():
+        mine = expanded[(expanded.block == day) & (expanded.split == ("train", "test")[part])]
+        x = np.column_stack([np.ones(len(mine)), mine[MODEL_INPUTS].to_numpy(float)])
+        error = x @ np.r_[fits[day]] - mine["y"].to_numpy(float)
+        assert np.allclose(sums, x.T @ error, rtol=1e-9, atol=1e-6)
