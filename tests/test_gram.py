@@ -167,3 +167,21 @@ def test_error_sums_equal_the_expanded_frame(table, expanded):
         x = np.column_stack([np.ones(len(mine)), mine[MODEL_INPUTS].to_numpy(float)])
         error = x @ np.r_[fits[day]] - mine["y"].to_numpy(float)
         assert np.allclose(sums, x.T @ error, rtol=1e-9, atol=1e-6)
+
+
+def test_rows_are_shuffled_once_however_many_parts_shuffles_have(spark, table):
+    names = {"spark.sql.shuffle.partitions": "40", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        rows = frame.training_frame(table, 1, 24)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(station_id" in line
+             and ", chunk#" in line]
+    # the rows, and the small table of their chunks
+    assert sum("REPARTITION_BY_NUM" in line for line in dealt) == 1
+    assert sum("ENSURE_REQUIREMENTS" in line for line in dealt) == 1
