@@ -143,3 +143,32 @@ def test_tasks_follow_the_hours_of_the_grid(spark):
     tasks = [int(line.rsplit(" ", 1)[1]) for line in plan.splitlines()
              if "RepartitionByExpression" in line and line.rsplit(" ", 1)[1].isdigit()]
     assert tasks and min(tasks) >= 12
+
+
+def test_chunk_summaries_come_from_the_shuffled_readings(spark):
+    """One exchange of readings: a summary ahead of it holds a wide row per file and chunk, which
+    grows faster than the readings."""
+    from hazegrid.operators.grid import filled_frames
+    df = to_spark(spark, readings(300, stations=(1, 2), seed=6))
+    query = filled_frames(df, back=24)._jdf.queryExecution()
+    summaries = [n for n in _nodes(query.optimizedPlan()) if n.nodeName() == "Aggregate"
+                 and "pm2_5__max_h" in n.output().mkString(",")]
+    assert summaries
+    for n in summaries:
+        assert any(x.nodeName().startswith("RepartitionByExpression") for x in _nodes(n))
+    dealt = [line for line in query.executedPlan().toString().splitlines()
+             if "Exchange hashpartitioning" in line and "chunk" in line.split("),")[0]]
+    assert dealt and all("REPARTITION_BY_NUM" in line for line in dealt)
+
+
+def test_readings_of_two_cities_and_none(spark):
+    """A missing hour has the city of the reading before it, the first ones their station's newest."""
+    df = readings(200, stations=(1, 2), seed=9, present=0.6).sort_values(["station_id", "ts"])
+    at = df.groupby("station_id").cumcount()
+    df["city"] = np.where(at < 20, None, np.where(at < 60, "a", "b"))
+    df.loc[df["station_id"] == 2, "city"] = None
+    out = sorted_pandas(interpolate(to_spark(spark, df)))
+    assert out.loc[out["station_id"] == 2, "city"].isna().all()
+    one, known = out[out["station_id"] == 1], df[df["station_id"] == 1].set_index("ts")["city"]
+    want = known.reindex(one["ts"]).ffill().fillna("b")
+    assert one["city"].tolist() == want.tolist()
