@@ -105,6 +105,23 @@ def test_components_of_odd_rows(odd, spark):
     assert ids == [0, 1, 2, 3, 4, 5, 7, 10, 11, 12, 13]
 
 
+def test_whole_sets_are_made_where_their_node_is_known(spark):
+    """No join above the making of sets, whose bytes exceed the texts'; ids with several rows keep theirs."""
+    docs = common.written(spark.createDataFrame(
+        [(1, "a b c d"), (2, "A b c e"), (3, "x y"), (3, "y z w"), (3, "y z w"), (None, "a b c d"), (4, "")],
+        "doc_id long, text string"), "docs")
+    known = docs.filter("doc_id is not null and text <> ''").distinct()
+    held = common.written(neardup.shingle_sets(known, 2).select(
+        "doc_id", "set_hi", "set_lo", F.xxhash64("set_hi", "set_lo").alias("node")), "held")
+    several = spark.createDataFrame([(3,)], "doc_id long")
+    got = neardup._held_sets(docs, held, several, 2).collect()
+    want = neardup.shingle_sets(known, 2).select(F.xxhash64("set_hi", "set_lo").alias("node"), "shingles")
+    assert sorted((r[0], sorted(r[1])) for r in got) == sorted((r[0], sorted(r[1])) for r in want.collect())
+    assert len(got) == 4
+    plan = neardup._held_sets(docs, held, None, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and plan.index("MapInArrow") < plan.index("Join")
+
+
 def test_chain_of_near_copies_inside_one_bucket(spark):
     """Ends of a chain are unlike each other but linked through its middle."""
     base = [f"w{i}" for i in range(400)]
