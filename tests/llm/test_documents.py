@@ -122,6 +122,37 @@ def test_whole_sets_are_made_where_their_node_is_known(spark):
     assert "Join" in plan and plan.index("MapInArrow") < plan.index("Join")
 
 
+@pytest.mark.parametrize("most", [1 << 28, 1 << 15])
+def test_sieved_rows_are_those_a_join_may_want(spark, monkeypatch, most):
+    """Every wanted row is inside, also where the map is too small; rows without a key are nowhere."""
+    monkeypatch.setattr(common, "_MOST_BITS", most)
+    rows = spark.range(20_000).selectExpr("if(id = 7, null, id - 10000) as id", "id as x")
+    keys = spark.range(0, 20_000, 5).selectExpr("id - 10000 as k").unionByName(
+        spark.createDataFrame([(None,)], "k long"))
+    inside = {r["id"] for r in common.sieved(rows, "id", keys).collect()}
+    outside = {r["id"] for r in common.sieved(rows, "id", keys, inside=False).collect()}
+    assert set(range(-10_000, 10_000, 5)) <= inside and not inside & outside
+    assert inside | outside == set(range(-10_000, 10_000)) - {-9_993}
+    assert len(outside) > (14_000 if most > 1 << 20 else 10_000)
+    assert common.sieved(rows, "id", keys.filter("k > 1000000")).isEmpty()
+
+
+def test_rows_of_kept_documents_are_not_shuffled(spark):
+    """Only rows that the sieve cannot tell from left-out documents meet a join; sets go by their roles."""
+    near = " ".join(f"copy{i}" for i in range(300))
+    docs = common.written(spark.createDataFrame(
+        [(i, f"text {i} about thing{i} and thing{i + 1} only") for i in range(50)] +
+        [(i, f"{near} end{i}") for i in range(50, 60)] + [(None, near)], "doc_id long, text string"), "docs")
+    out = neardup.without_duplicates(docs, 2)
+    assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in out.collect()) == [-1, *range(51)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan and "LeftAnti" in plan
+    pairs = spark.createDataFrame([(2, 1), (3, 1), (3, 2)], "a long, b long")
+    roles = {r["node"]: (sorted(x["b"] for x in r["pivots"] or []), r["copies"])
+             for r in neardup._roles(pairs).collect()}
+    assert roles == {1: ([], 1), 2: ([1], 1), 3: ([1, 2], None)}
+
+
 def test_chain_of_near_copies_inside_one_bucket(spark):
     """Ends of a chain are unlike each other but linked through its middle."""
     base = [f"w{i}" for i in range(400)]
