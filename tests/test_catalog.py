@@ -5,6 +5,9 @@ import pytest
 from compare import TABLES, differences
 
 import __spark_entry__ as entry
+from hazegrid.catalog import queries, streams
+from hazegrid.catalog.queries import ROUNDED, Tables, _plain
+from hazegrid.schemas import FEATURES
 
 FAST = ["flatten_readings", "flatten_weather", "upsert_keep_last", "merge_sources", "sub_index",
         "coverage", "gap_report", "aqi_hourly", "interpolated", "feature_table", "context_slice",
@@ -51,3 +54,27 @@ def test_ridge_forecast_shows_its_values(spark, data):
     per = rows.groupby("station_id")["hours_ahead"]
     assert len(rows) and (per.nunique() == 72).all() and (per.count() == 72).all()
     assert rows["aqi"].nunique() > 10
+
+
+@pytest.fixture(scope="module")
+def fresh(spark, data):
+    return Tables(spark, data)
+
+
+@pytest.mark.parametrize("name", ["staleness", "wind_rose", "profile_hour", "history_cards", "feature_labels",
+                                  "complete_rows", "stream_alerts", "r2_by_hour", "naive_baselines",
+                                  "latest_model_version", "list_model_versions"])
+def test_reports_do_not_write_every_feature(fresh, sql, name):
+    found = getattr(streams if name.startswith("stream_") else queries, name)(fresh)
+    assert "features" not in fresh.__dict__
+    assert differences(_plain(found).toPandas(), sql.execute(entry.oracle_sql()[name]).df()) == []
+
+
+def test_narrow_columns_equal_the_whole_table(spark, data):
+    t = Tables(spark, data)
+    names = [c for c in FEATURES if c not in ROUNDED]
+    each = [t.reading(*part) for part in (["city", *names[::2]], ["wind_u", "calm_flag"], ["dominant_pollutant"])]
+    wide = t.features
+    for narrow in each:
+        same = wide.select(narrow.columns)
+        assert narrow.count() == same.count() > 0 and narrow.exceptAll(same).isEmpty()
