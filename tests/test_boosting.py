@@ -71,7 +71,7 @@ def test_missing_inputs_are_refused(spark):
         models.boosted(df, ["a"], rounds=1, depth=1)
 
 
-@pytest.mark.parametrize("name", ["trained_blocks"])
+@pytest.mark.parametrize("name", ["boosted_delta_scores", "trained_blocks"])
 def test_queries_boost_at_full_size(spark, monkeypatch, name):
     t = Tables(spark, "nowhere")
     t.__dict__["features"] = build_features(to_spark(spark, readings(900, known=1.0, present=1.0)))
