@@ -47,3 +47,25 @@ def test_background_means_of_all_leads(table):
         at = forecast.model_input(rows.withColumn("hours_ahead", F.lit(lead)))
         want = at.agg(*[F.avg(c).alias(c) for c in MODEL_INPUTS]).first().asDict()
         assert found[lead] == pytest.approx(want, rel=1e-12)
+
+
+def test_shuffled_files_go_with_their_job(spark, tmp_path):
+    """A written table leaves no shuffle files behind, however long the session lives."""
+    import time
+    from pathlib import Path
+
+    from hazegrid.session import prepare, written
+
+    root = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+                .localDirs()[0].getPath())
+
+    def shuffled():
+        return {f.name for f in root.rglob("shuffle_*.data")}
+
+    before, rows = shuffled(), prepare(spark).range(20_000).selectExpr("id % 7000 as k", "id as v")
+    out = written(rows.groupBy("k").agg(F.sum("v").alias("v")), "summed")
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before and out.count() == 7000
